@@ -59,7 +59,7 @@ RULES: dict[str, str] = {
                       ELSE 'S2_CC_L2B' END AS product_type_code,
                ts AS start_date, ts AS publishing_date, tile, d AS measurement_day,
                CASE WHEN k = 1 THEN concat('s3://EODATA/S1A_IW_GRDH_1SDV_', CAST(d AS STRING), 'T0600',
-                        {_two('(g % 3) * 20')}, '_', CAST(d AS STRING), 'T0600', {_two('(g % 3) * 20 + 20')},
+                        {_two('(CAST(floor(g / 3) AS BIGINT) % 3) * 20')}, '_', CAST(d AS STRING), 'T0600', {_two('(CAST(floor(g / 3) AS BIGINT) % 3) * 20 + 20')},
                         '_000001_00000A_', lpad(CAST(e % 10000 AS STRING), 4, '0'), '.SAFE')
                     ELSE concat('s3://BUCKET/', tile, '/', {_id('e')}) END AS input_path,
                (k = 1 AND u % 3 > 0) AS is_partial,

@@ -95,8 +95,12 @@ def product_rejects(products: DataFrame) -> DataFrame:
 
 
 def _with_fields(products: DataFrame) -> DataFrame:
+    """Products with the parsed fields. They pass through a one-element array, so that a filter on them is not
+    pushed below and the names are parsed once per row."""
     partial = (F.coalesce("is_partial", F.lit(False)) if "is_partial" in products.columns else F.lit(False))
-    return products.withColumns({**_product_fields(), "is_partial": partial})
+    fields = F.struct(*[c.alias(n) for n, c in _product_fields().items()], partial.alias("is_partial"))
+    kept = [c for c in products.columns if c != "is_partial"]
+    return products.select(*kept, F.explode(F.array(fields)).alias("f")).select(*kept, "f.*")
 
 
 def _parsed() -> Column:

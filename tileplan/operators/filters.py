@@ -59,18 +59,13 @@ def tasks_not_finished(pt: DataFrame) -> DataFrame:
     return pt.filter(~F.col("has_ended"))
 
 
-def cc_eligible(l1c: DataFrame, tiles: DataFrame, limits: DataFrame) -> DataFrame:
-    """FLT-09: L1C on an allowed tile, published and measured within the limits of the CC condition.
+def cc_eligible(l1c: DataFrame, tiles: DataFrame, earliest_publication, earliest_day) -> DataFrame:
+    """FLT-09: L1C on an allowed tile, published and measured at or after the limits of the CC condition.
 
-    ``limits`` comes from ``deadlines`` and has one row per condition.
+    The limits are a timestamp and a day yyyymmdd, so both reach the scan.
     """
-    cc = F.broadcast(limits.filter(F.col("condition") == "CC_TC")
-                     .select("earliest_publication", "earliest_measurement"))
-    in_time = (F.to_date("publishing_date") >= F.col("earliest_publication")) & (
-        F.to_date(F.col("measurement_day").cast("string"), "yyyyMMdd")
-        >= F.col("earliest_measurement"))
-    return (l1c.join(cc, in_time).drop("earliest_publication", "earliest_measurement")
-            .join(tiles.select("tile"), "tile", "left_semi").select(*l1c.columns))
+    in_time = (F.col("publishing_date") >= earliest_publication) & (F.col("measurement_day") >= earliest_day)
+    return l1c.filter(in_time).join(tiles.select("tile"), "tile", "left_semi").select(*l1c.columns)
 
 
 def orbit_valid(ri: DataFrame, tracks: DataFrame) -> DataFrame:

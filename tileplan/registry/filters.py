@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tileplan.fixtures import AS_OF, CUTOVER
-from tileplan.functions.scalars import deadlines
+from tileplan.fixtures import CUTOVER
 from tileplan.operators import filters as op
 from tileplan.operators.tasks import task_inputs
 from tileplan.registry import query
+from tileplan.registry.triggers import rules_of
 
 FRM, TO = "2024-01-05 00:00:00", "2024-01-20 12:00:00"
 
@@ -58,7 +58,8 @@ def _(fx):
     AND measurement_day >= 20240101""")
 def _(fx):
     l1c = fx.raw_inputs.filter(F.col("product_type_code") == "S2MSI1C")
-    return op.cc_eligible(l1c, fx.tile_list, deadlines(fx.condition_limits, AS_OF))
+    rules = rules_of(fx)
+    return op.cc_eligible(l1c, fx.tile_list, rules.since("CC_TC"), rules.earliest_day("CC_TC"))
 
 
 @query("flt10_orbit_valid", """SELECT r.* FROM raw_inputs r WHERE EXISTS (SELECT 1 FROM tile_track k

@@ -91,7 +91,7 @@ def _(fx):
     return fx.raw_inputs.select("id", s.dashed_day("measurement_day").alias("day"))
 
 
-@query("prj11_paths", """SELECT raw_input_id, list_filter(string_split(input_path, '/'), x -> x <> '')[-1] AS name,
+@query("prj11_paths", """SELECT raw_input_id, list_filter(string_split(input_path, '/'), lambda x: x <> '')[-1] AS name,
     concat(rtrim(input_path, '/'), '/') AS dir, string_split(input_path, '/')[-1] AS base FROM run_inputs""")
 def _(fx):
     return fx.run_inputs.select("raw_input_id", s.path_name("input_path").alias("name"),
