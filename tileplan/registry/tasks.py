@@ -154,3 +154,77 @@ def _(fx):
     lost = op.lost_sets(fx, LARGE, CUTOVER).select("id", "nomad_job_id", "no_callback", "no_exit_code")
     return lost.filter("no_callback").select("id", "nomad_job_id").union(
         lost.filter("no_exit_code").select("id", "nomad_job_id")).distinct()
+
+
+def _planning():
+    from tileplan.plans import planning as p
+
+    return p
+
+
+@query("tsk01_plan_tasks", f"""SELECT v.id AS trigger_validation_fk_id, TIMESTAMP '{AS_OF}' AS creation_date,
+    CASE WHEN v.triggering_condition_name = 'GFSC_TC' THEN v.artificial_measurement_day END AS processing_date,
+    false AS has_ended FROM trigger_validation v WHERE v.id IN (SELECT trigger_validation_id FROM raw2valid)
+    AND v.id NOT IN (SELECT trigger_validation_fk_id FROM processing_tasks)""")
+def _(fx):
+    return _planning().plan_tasks(fx.raw2valid, fx.trigger_validation, fx.processing_tasks, AS_OF)[0]
+
+
+# Sources joined to the inputs of their type: the windows each input's day falls in.
+@query("tsk02_harvest_windows", """SELECT concat(triggering_condition_name, coalesce('/' || timeliness, '')) AS source,
+    w.day AS window_start, w.day + 1 AS window_end, count(r.id) AS n_inputs FROM (SELECT *, CAST(unnest(generate_series(
+        strptime(archive_harvest_start_date, '%Y%m%d'), strptime(archive_harvest_end_date, '%Y%m%d'), INTERVAL 1 DAY)) AS DATE) AS day
+        FROM sources WHERE archive_harvest_end_date IS NOT NULL) w
+    LEFT JOIN raw_inputs r ON CAST(r.publishing_date AS DATE) = w.day AND r.product_type_code = w.input_type
+    GROUP BY 1, 2, 3""")
+def _(fx):
+    windows = _planning().harvest_windows(fx.sources, "ARCHIVE", AS_OF)
+    kinds = fx.sources.select(F.concat_ws("/", "triggering_condition_name", "timeliness").alias("source"), "input_type")
+    published = fx.raw_inputs.groupBy(F.col("product_type_code").alias("input_type"),
+                                      F.to_date("publishing_date").alias("window_start")).agg(F.count("*").alias("n"))
+    return (published.join(F.broadcast(windows.join(kinds, "source")), ["input_type", "window_start"], "right")
+            .select("source", "window_start", "window_end", F.coalesce("n", F.lit(0)).alias("n_inputs")))
+
+
+@query("tsk03_nrt_window", f"""SELECT concat(triggering_condition_name, coalesce('/' || timeliness, '')) AS source, input_type,
+    TIMESTAMP '2024-01-26 00:00:00' AS min_measurement_date, CASE WHEN timeliness IS NOT NULL THEN TIMESTAMP '2024-01-26 00:00:00'
+        ELSE greatest(TIMESTAMP '2024-01-26 00:00:00', (SELECT arg_max(publishing_date, start_date) FROM raw_inputs r
+            WHERE r.product_type_code = s.input_type)) END AS min_publication_date,
+    TIMESTAMP '{AS_OF}' AS max_publication_date FROM sources s""")
+def _(fx):
+    return _planning().nrt_window(fx.sources, fx.raw_inputs, AS_OF)
+
+
+_AGES = "(SELECT nomad_job_id, CASE WHEN processing_task_id % 50 = 0 THEN NULL ELSE processing_task_id % 4000 END AS age FROM processingtask2nomad)"
+
+
+@query("tsk04_lost_tasks", f"""SELECT t.nomad_job_id AS nomad_job_dispatch_fk_id, 4 AS processing_status_id,
+    TIMESTAMP '{AS_OF}' AS date, 404 AS exit_code FROM ({_RUNS}) t JOIN {_AGES} a ON a.nomad_job_id = t.nomad_job_id
+    WHERE t.flavour = '{LARGE}' AND NOT EXISTS (SELECT 1 FROM processing_status_workflow s
+        WHERE s.nomad_job_dispatch_fk_id = t.nomad_job_id AND s.exit_code IS NOT NULL)
+    AND (a.age IS NULL OR a.age = 0 OR a.age > 180 * CASE WHEN t.duration < 7 THEN 7 ELSE t.duration END)""")
+def _(fx):
+    ages = fx.sql(f"SELECT * FROM {_AGES} a")
+    return _planning().lost_tasks(fx, ages, LARGE, AS_OF, CUTOVER)
+
+
+@query("tsk05_archive_batch", f"""SELECT DISTINCT t.* EXCLUDE (measurement_day) FROM ({_ARCHIVE}) t WHERE flavour = '{SMALL}'
+    AND measurement_day BETWEEN (SELECT min(x.measurement_day) FROM ({_ARCHIVE}) x JOIN trigger_validation v
+        ON v.id = x.trigger_validation_fk_id WHERE x.flavour = '{SMALL}' AND NOT v.is_nrt) AND 20240124""")
+def _(fx):
+    from tileplan.sources.reference import code_table, run_params
+
+    params = run_params(code_table(fx._spark, "launcher_config"))
+    return _planning().archive_batch(fx, SMALL, fx.tile_list, params, 20240125)
+
+
+@query("tsk06_launch_queue", f"""SELECT t.* EXCLUDE (duration) FROM ({_SINCE}) t WHERE t.flavour = '{LARGE}' AND t.id % 3 > 0
+    AND (t.id NOT IN (SELECT processing_task_id FROM processingtask2nomad) OR (NOT t.has_ended AND EXISTS (
+        SELECT 1 FROM processingtask2nomad n, processing_status_workflow s WHERE n.processing_task_id = t.id
+        AND s.nomad_job_dispatch_fk_id = n.nomad_job_id AND s.processing_status_id IN (4, 5))))
+    AND t.id NOT IN (SELECT p.id FROM processing_tasks p JOIN processingtask2nomad n ON n.processing_task_id = p.id
+        WHERE NOT p.has_ended AND NOT EXISTS ({_STATUS} AND s.exit_code IS NOT NULL))""")
+def _(fx):
+    pending = op.undispatched(fx, LARGE, CUTOVER).unionByName(op.in_error(fx, LARGE, CUTOVER))
+    queued = fx.processing_tasks.filter(F.col("id") % 3 == 0)
+    return _planning().launch_queue(pending, queued, op.currently_deployed(fx))
