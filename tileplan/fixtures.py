@@ -262,3 +262,16 @@ class FixtureCatalogue(Catalogue):
         query = with_tables(text)
         events = self._spark.read.parquet(f"{self._root}/events.parquet")
         return self._spark.sql(re.sub(r"\bFROM events\b", "FROM {events}", query), events=events)
+
+    def stream(self, name: str, more: str = "") -> DataFrame:
+        """A derived table as a stream over the events file; lookups inside its rule stay batch reads."""
+        source = (self._spark.readStream.schema(self._spark.read.parquet(f"{self._root}/events.parquet").schema)
+                  .option("pathGlobFilter", "events.parquet").parquet(self._root))
+        query = with_tables(f"SELECT * FROM {name} {more}")
+        base = RULES["fx_base"].strip()
+        query = query.replace(base, base.replace("FROM events", "FROM {stream}"))
+        query = re.sub(r"\bFROM events\b", "FROM {events}", query)
+        tables = {"stream": source}
+        if "{events}" in query:
+            tables["events"] = self._spark.read.parquet(f"{self._root}/events.parquet")
+        return self._spark.sql(query, **tables)
