@@ -6,7 +6,7 @@ from tileplan.fixtures import AS_OF
 from tileplan.operators.tasks import currently_deployed
 from tileplan.plans import triggers as trg
 from tileplan.registry import query
-from tileplan.registry.triggers import ALL, rules_of
+from tileplan.registry.triggers import ALL, _WIC, _cand, rules_of
 from tileplan.session import shared_dir
 from tileplan.streaming import feeds, jobs, pairing
 
@@ -99,23 +99,17 @@ def _(fx):
     return table.rows().select("id", "product_type_code", "tile", "measurement_day")
 
 
-@query("str08_triggers", f"""SELECT condition, raw_input_id, first_id FROM ({ALL}) c""")
+@query("str08_triggers", f"SELECT condition, raw_input_id FROM ({ALL}) c")
 def _(fx):
-    """Validations below a folder, seeded with the stored ones; the result are the new links by candidate."""
+    """Validations and links below a folder, seeded with the stored ones; the result are the new links."""
     root = shared_dir(fx._spark, "triggers")
     heads, links = (jobs.BatchTable(fx._spark, root, t) for t in ("trigger_validation", "raw2valid"))
     heads.write(fx.trigger_validation, jobs.SEED)
     links.write(fx.raw2valid, jobs.SEED)
     jobs.run_triggers(fx.stream("raw_inputs"), fx, rules_of(fx), root, f"{root}-checkpoint").awaitTermination()
-    top = fx.trigger_validation.agg(F.max("id").alias("top"))
-    made = heads.rows().crossJoin(F.broadcast(top)).filter(F.col("id") > F.col("top"))
-    new = links.rows().join(made.select(F.col("id").alias("trigger_validation_id"),
-                                        F.col("triggering_condition_name").alias("condition")), "trigger_validation_id")
-    # The first member of a candidate is of the type that fired it, so it can be told from the link rows alone.
-    kind = fx.raw_inputs.select(F.col("id").alias("raw_input_id"), "product_type_code")
-    stated = trg.trigger_all(fx.raw_inputs, fx, rules_of(fx)).select("condition", "raw_input_id", "first_id")
-    return (new.join(kind, "raw_input_id", "left_semi").groupBy("condition", "raw_input_id").agg(F.count("*").alias("n"))
-            .join(stated, ["condition", "raw_input_id"]).select("condition", "raw_input_id", "first_id"))
+    made = heads.rows().join(fx.trigger_validation.select("id"), "id", "left_anti").select(
+        F.col("id").alias("trigger_validation_id"), F.col("triggering_condition_name").alias("condition"))
+    return links.rows().join(made, "trigger_validation_id").select("condition", "raw_input_id")
 
 
 @query("str09_wds_join", """SELECT s.id AS sig0_id, f.id AS fsc_id, s.tile, s.measurement_day FROM raw_inputs s JOIN raw_inputs f
@@ -128,7 +122,16 @@ def _(fx):
     return jobs.run_available(pairing.stream_wds(side("S1_NRB_L2A"), side("S2_FSC_L2B"), fx.tile_track), "wds")
 
 
-@query("str10_grd_pairing")
+@query("str10_grd_pairing", """WITH grd AS (SELECT *, coalesce(relative_orbit_number, -1) AS orbit_key,
+        regexp_extract(input_path, '_(\\d{8}T\\d{6})_(\\d{8}T\\d{6})_', 1) AS t0,
+        regexp_extract(input_path, '_(\\d{8}T\\d{6})_(\\d{8}T\\d{6})_', 2) AS t1
+        FROM raw_inputs WHERE product_type_code = 'IW_GRDH_1S' AND is_partial),
+    grp AS (SELECT tile, measurement_day, orbit_key, count(*) AS n, max(harvesting_date) AS last,
+        list(id ORDER BY start_date, id) AS ids, list(t0 ORDER BY start_date, id) AS s, list(t1 ORDER BY start_date, id) AS p
+        FROM grd GROUP BY 1, 2, 3)
+    SELECT tile, measurement_day, orbit_key, CASE WHEN n = 1 THEN 'orphan' ELSE 'pair' END AS kind, ids[1] AS first_id FROM grp
+    WHERE (n > 1 AND (p[1] = s[2] OR s[1] = p[2]))
+    OR (n = 1 AND last < (SELECT max(harvesting_date) FROM grd) - INTERVAL 130 MINUTE)""")
 def _(fx):
     return jobs.run_available(pairing.stream_grd(fx.stream("raw_inputs")), "grd")
 
@@ -162,7 +165,8 @@ def _(fx):
     return jobs.run_available(fx.stream("raw_inputs").select("id"), "restart", path)
 
 
-@query("str14_periodic")
+@query("str14_periodic", f"""SELECT DISTINCT {_cand("'WICS1S2_TC'", 'id', nrt='false')} FROM ({_WIC}) x
+    UNION ALL SELECT {_cand("'WICS1S2_TC'", 'id', member='partner', nrt='false')} FROM ({_WIC}) y""")
 def _(fx):
     """A pass over the whole tables, woken by the input stream."""
     path = shared_dir(fx._spark, "periodic")

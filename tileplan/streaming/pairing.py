@@ -35,7 +35,8 @@ def stream_wds(sig0: DataFrame, fsc: DataFrame, tracks: DataFrame, limit: str =
 
 GROUP = ["tile", "measurement_day", "orbit_key"]
 DECISION = "tile STRING, measurement_day BIGINT, orbit_key INT, kind STRING, first_id STRING"
-STATE = "start1 STRING, id1 STRING, stop1 STRING, start2 STRING, id2 STRING, stop2 STRING, n BIGINT, last_ms BIGINT"
+STATE = ("at1 BIGINT, id1 STRING, start1 STRING, stop1 STRING, at2 BIGINT, id2 STRING, start2 STRING, stop2 STRING, "
+         "n BIGINT, last_ms BIGINT")
 
 
 def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -46,23 +47,23 @@ def decide(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> It
     """
     if state.hasTimedOut:
         held = state.get
-        if held[6] == 1:
+        if held[8] == 1:
             yield _decision(key, "orphan", held[1])
         state.remove()
         return
-    first = state.get if state.exists else (None, None, None, None, None, None, 0, 0)
-    two = [first[i:i + 3] for i in (0, 3) if first[i] is not None]
-    n, last_ms = first[6], first[7]
+    held = state.get if state.exists else (None,) * 8 + (0, 0)
+    two = [held[i:i + 4] for i in (0, 4) if held[i] is not None]
+    n, last_ms = held[8:]
     for batch in batches:
         n += len(batch)
         last_ms = max(last_ms, int(batch["ms"].max()))
-        head = batch.sort_values(["start", "id"]).head(2)
-        two = sorted(two + list(zip(head["start"], head["id"], head["stop"])))[:2]
-    if len(two) == 2 and (two[0][2] == two[1][0] or two[0][0] == two[1][2]):
+        head = batch.sort_values(["at", "id"]).head(2)
+        two = sorted(two + list(zip(head["at"].astype(int), head["id"], head["start"], head["stop"])))[:2]
+    if len(two) == 2 and (two[0][3] == two[1][2] or two[0][2] == two[1][3]):
         yield _decision(key, "pair", two[0][1])
         state.remove()
         return
-    second = two[1] if len(two) == 2 else (None, None, None)
+    second = two[1] if len(two) == 2 else (None,) * 4
     state.update((*two[0], *second, n, last_ms))
     due = last_ms + (WAIT_MS if n == 1 else LIMIT_MS)
     state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
@@ -82,7 +83,8 @@ def stream_grd(grd: DataFrame, delay: str = "10 minutes") -> DataFrame:
     event_time = F.col("harvesting_date").cast("timestamp")
     slices = (grd.filter((F.col("product_type_code") == "IW_GRDH_1S") & F.col("is_partial"))
               .select("tile", "measurement_day", F.coalesce("relative_orbit_number", F.lit(-1)).alias("orbit_key"), "id",
-                      name["start"].alias("start"), name["stop"].alias("stop"), event_time.alias("event_time"),
+                      F.unix_micros(F.col("start_date").cast("timestamp")).alias("at"), name["start"].alias("start"),
+                      name["stop"].alias("stop"), event_time.alias("event_time"),
                       F.unix_millis(event_time).alias("ms"))
               .withWatermark("event_time", delay))
     return slices.groupBy(*GROUP).applyInPandasWithState(
