@@ -28,5 +28,5 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     from tileplan.registry import (  # noqa: F401
-        filters, inputs, manifests, names, sources, status, streams, tasks, triggers,
+        filters, functions, inputs, manifests, names, sources, status, streams, tasks, triggers,
     )
