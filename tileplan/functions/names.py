@@ -22,34 +22,55 @@ def _number(text: Column, kind: str = "bigint") -> Column:
     return text.try_cast(kind)
 
 
+def grd_fields(p: Column) -> Column:
+    return F.struct(F.get(p, F.lit(0)).alias("mission"), F.get(p, F.lit(4)).alias("start"),
+                    F.get(p, F.lit(5)).alias("stop"), F.get(p, F.lit(7)).alias("acquisition_id"))
+
+
+def l1c_fields(p: Column) -> Column:
+    stamp = F.get(p, F.lit(2))
+    return F.struct(F.get(p, F.lit(0)).alias("mission"), F.substring_index(stamp, "T", 1).alias("day"),
+                    stamp.alias("stamp"), F.get(p, F.lit(5)).substr(2, 99).alias("tile"))
+
+
+def l2a_fields(p: Column) -> Column:
+    mission, moment_ = F.get(p, F.lit(0)), F.get(p, F.lit(1))
+    return F.struct(mission.alias("mission"), F.concat(F.lit("S2"), F.right(mission, F.lit(1))).alias("short_mission"),
+                    F.substring_index(moment_, "-", 1).alias("day"),
+                    F.substring_index(F.substring_index(moment_, "-", 2), "-", -1).alias("time"),
+                    F.get(p, F.lit(3)).substr(2, 99).alias("tile"))
+
+
+def sig0_fields(p: Column) -> Column:
+    stamp = F.get(p, F.lit(1))
+    return F.struct(F.try_element_at(p, F.lit(-2)).substr(1, 3).alias("mission"),
+                    F.substring_index(stamp, "T", 1).alias("day"), F.substring_index(stamp, "T", -1).alias("time"),
+                    F.get(p, F.lit(5)).substr(2, 99).alias("tile"), F.get(p, F.lit(4)).alias("orbit"))
+
+
+def name_parts(name: str | Column) -> Column:
+    """The parts of a name; keep them in a column where several fields are read from one name."""
+    return F.split(name, "_")
+
+
 def parse_grd(path: str | Column) -> Column:
     """PRJ-02: mission, start, stop and acquisition id of a GRD file."""
-    name = F.split_part(base_name(path), F.lit("."), F.lit(1))
-    return F.struct(_part(name, 0).alias("mission"), _part(name, 4).alias("start"), _part(name, 5).alias("stop"),
-                    _part(name, 7).alias("acquisition_id"))
+    return grd_fields(name_parts(base_name(path)))
 
 
 def parse_l1c(name: Column) -> Column:
     """PRJ-03: mission, day, time text and tile of an L1C image."""
-    return F.struct(_part(name, 0).alias("mission"), F.split_part(_part(name, 2), F.lit("T"), F.lit(1)).alias("day"),
-                    _part(name, 2).alias("stamp"), _part(name, 5).substr(2, 99).alias("tile"))
+    return l1c_fields(name_parts(name))
 
 
 def parse_l2a(name: Column) -> Column:
     """PRJ-04: mission, short mission, day, time and tile of an L2A product."""
-    mission = _part(name, 0)
-    return F.struct(mission.alias("mission"), F.concat(F.lit("S2"), F.right(mission, F.lit(1))).alias("short_mission"),
-                    _part(_part(name, 1), 0, "-").alias("day"), _part(name, 1, "-").alias("time"),
-                    _part(name, 3).substr(2, 99).alias("tile"))
+    return l2a_fields(name_parts(name))
 
 
 def parse_sig0(name: Column) -> Column:
     """PRJ-05: mission, day, time, tile and orbit of a backscatter product."""
-    parts = F.split(name, "_")
-    return F.struct(F.try_element_at(parts, F.lit(-2)).substr(1, 3).alias("mission"),
-                    F.split_part(_part(name, 1), F.lit("T"), F.lit(1)).alias("day"),
-                    F.split_part(_part(name, 1), F.lit("T"), F.lit(2)).alias("time"),
-                    _part(name, 5).substr(2, 99).alias("tile"), _part(name, 4).alias("orbit"))
+    return sig0_fields(name_parts(name))
 
 
 def _product_fields() -> dict[str, Column]:

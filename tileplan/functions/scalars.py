@@ -25,13 +25,15 @@ def _col(c: str | Column) -> Column:
 
 
 def day_to_date(c: str | Column) -> Column:
-    """A day yyyymmdd as a date."""
-    return F.to_date(_col(c).cast("string"), "yyyyMMdd")
+    """A day yyyymmdd as a date, by arithmetic rather than by parsing text."""
+    day = _col(c).cast("int")
+    return F.make_date(F.floor(day / 10000).cast("int"), (F.floor(day / 100) % 100).cast("int"), day % 100)
 
 
 def date_to_day(c: str | Column) -> Column:
     """A date as the integer yyyymmdd."""
-    return F.date_format(_col(c), "yyyyMMdd").cast("bigint")
+    date = _col(c)
+    return (F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)).cast("bigint")
 
 
 def day_add(c: str | Column, n: int) -> Column:
@@ -46,12 +48,13 @@ def iso_ms(c: str | Column) -> Column:
 
 def dashed_day(c: str | Column) -> Column:
     """PRJ-10: a day as YYYY-MM-DD."""
-    return F.date_format(day_to_date(c), "yyyy-MM-dd")
+    text = _col(c).cast("string")
+    return F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
 
 
 def path_name(c: str | Column) -> Column:
     """PRJ-11: the last non-empty part of a path."""
-    return F.regexp_extract(_col(c), r"([^/]+)/*$", 1)
+    return F.substring_index(F.rtrim(_col(c), F.lit("/")), "/", -1)
 
 
 def path_dir(c: str | Column) -> Column:
@@ -61,7 +64,7 @@ def path_dir(c: str | Column) -> Column:
 
 def base_name(c: str | Column) -> Column:
     """PRJ-11: the text after the last slash, empty for a path that ends in one."""
-    return F.regexp_extract(_col(c), r"([^/]*)$", 1)
+    return F.substring_index(_col(c), "/", -1)
 
 
 def ns_time(c: str | Column) -> Column:

@@ -10,7 +10,7 @@ from tileplan.catalogue import Catalogue
 from tileplan.functions.scalars import date_to_day, day_to_date
 from tileplan.operators.status import not_successful
 from tileplan.plans.triggers import Rules, _rows
-from tileplan.session import day_number
+from tileplan.session import day_number, written
 
 LOOK_BACK = 7
 JUMP = 7
@@ -89,9 +89,10 @@ def trg_gfsc(cat: Catalogue, rules: Rules, last_day: int) -> tuple[DataFrame, Da
     unless a validation of that day has exactly this set. Returns the candidates and the walk.
 
     An input is put under each of the eight days it counts for, which turns the range into equality of days;
-    the days of the walk are at most one row per calendar day and are broadcast.
+    the days of the walk are at most one row per calendar day and are broadcast. The walk and the sets are written
+    once, as the comparison with the stored sets reads them several times.
     """
-    walk = gap_walk(not_successful(cat, BLOCKING), last_day, rules.today)
+    walk = written(gap_walk(not_successful(cat, BLOCKING), last_day, rules.today), "gap-walk")
     clean = walk.filter("clean").select(F.col("measurement_day").alias("day"))
     first = day_number(dt.date(last_day // 10000, last_day // 100 % 100, last_day % 100) - dt.timedelta(days=LOOK_BACK))
     date = day_to_date("measurement_day")
@@ -103,6 +104,7 @@ def trg_gfsc(cat: Catalogue, rules: Rules, last_day: int) -> tuple[DataFrame, Da
             .join(F.broadcast(clean), "day").join(rules.tiles.select("tile"), "tile", "left_semi")
             .withColumn("condition", F.lit("GFSC_TC"))
             .withColumn("candidate_key", F.concat_ws("|", "condition", "tile", F.col("day").cast("string"))))
+    sets = written(sets, "gap-sets")
     heads = sets.groupBy("candidate_key").agg(F.min("raw_input_id").alias("first_id"))
     fresh = heads.join(exact_set_exists(sets, cat), "candidate_key", "left_anti")
     rows = sets.join(fresh, "candidate_key").withColumn("measurement_day", F.col("day"))

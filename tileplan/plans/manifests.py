@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tileplan.functions.names import parse_grd, parse_l1c, parse_l2a, parse_sig0
+from tileplan.functions.names import grd_fields, l1c_fields, l2a_fields, name_parts, sig0_fields
 from tileplan.functions.scalars import base_name, day_to_date, half_day, pad_orbit, path_dir, path_name, source_root
 from tileplan.plans.templates import ROOTS, TITLES, manifest_lines
-from tileplan.session import moment
+from tileplan.session import moment, written
 
 # Fixed values.
 SPAN_DAYS = "7"
@@ -31,20 +31,17 @@ def gather_inputs(run_info: DataFrame) -> DataFrame:
     """
     routine, path = F.col("processing_routine_name"), F.col("input_path")
     base, last = base_name(path), path_name(path)
-    role = lambda name, on, fits: F.when(routine.isin(*on) & fits, F.lit(name))
-    roles = F.array_compact(F.array(
-        role("L1C", ["CC"], base.rlike("MSI(L)?1C")),
-        role("L2A", ["CC"], base.contains("L2A")),
-        role("L2A", ["FSC", "WICS2"], F.lit(True)),
-        role("SIGMA0", ["SWS", "WICS1"], F.lit(True)),
-        role("SIGMA0", ["WDS"], base.contains("SIG0")),
-        role("FSCS", ["WDS"], path.contains("CLMS_WSI_FSC")),
-        role("GRD", ["SIG0"], path.contains("GRD")),
-        role("FSC", ["GFSC"], last.contains("FSC")),
-        role("SWS", ["GFSC"], last.contains("SWS")),
-        role("WIC_S1", ["WICS1S2"], path.contains("S1")),
-        role("WIC_S2", ["WICS1S2"], path.contains("S2"))))
-    return run_info.withColumn("role", F.explode(roles))
+    is_ = lambda *names: routine.isin(*names)
+    role = (F.when(is_("FSC", "WICS2"), "L2A").when(is_("SWS", "WICS1"), "SIGMA0")
+            .when(is_("CC"), F.when(base.rlike("MSI(L)?1C"), "L1C").when(base.contains("L2A"), "L2A"))
+            .when(is_("WDS"), F.when(base.contains("SIG0"), "SIGMA0").when(path.contains("CLMS_WSI_FSC"), "FSCS"))
+            .when(is_("SIG0"), F.when(path.contains("GRD"), "GRD"))
+            .when(is_("GFSC"), F.when(last.contains("FSC"), "FSC").when(last.contains("SWS"), "SWS"))
+            .when(is_("WICS1S2"), F.when(path.contains("S1"), "WIC_S1")))
+    # A path of the combined product may name both sensors and then has both roles.
+    second = F.when(is_("WICS1S2") & path.contains("S2"), "WIC_S2")
+    roles = F.explode(F.array(role, second))
+    return run_info.withColumn("role", roles).filter(F.col("role").isNotNull())
 
 
 def cc_mode(n_inputs: Column) -> Column:
@@ -54,8 +51,8 @@ def cc_mode(n_inputs: Column) -> Column:
 
 def _agrees() -> Column:
     """Whether the name of an input fits its mission, tile and day, as far as its role demands it."""
-    name, tile, day = F.col("name"), F.col("tile"), F.col("measurement_day").cast("string")
-    l1c, l2a, sig0, grd = parse_l1c(name), parse_l2a(name), parse_sig0(name), parse_grd(name)
+    parts, tile, day = F.col("parts"), F.col("tile"), F.col("measurement_day").cast("string")
+    l1c, l2a, sig0, grd = l1c_fields(parts), l2a_fields(parts), sig0_fields(parts), grd_fields(parts)
     fits = (F.when(F.col("role") == "L1C", l1c["mission"].isin(S2_MISSIONS_L1C) & (l1c["tile"] == tile) & (l1c["day"] == day))
             .when(F.col("role") == "L2A", l2a["mission"].isin(L2A_MISSIONS) & (l2a["tile"] == tile)
                   & ((F.col("processing_routine_name") == "CC") | (l2a["day"] == day)))
@@ -71,7 +68,8 @@ def manifest_tasks(run_info: DataFrame, as_of, l1c_dates: DataFrame | None = Non
     First and last slices are the smallest and largest name; everything is ``min``, ``max`` or ``bool_and``, combined
     before the shuffle. ``l1c_dates`` (processing_task_id, product_date) replaces the time in the L1C name.
     """
-    rows = gather_inputs(run_info).withColumn("name", path_name("input_path")).withColumn("agrees", _agrees())
+    rows = gather_inputs(run_info).withColumn("name", path_name("input_path"))
+    rows = rows.withColumn("parts", name_parts("name")).withColumn("agrees", _agrees())
     of = lambda f, role: f(F.when(F.col("role") == role, F.col("name")))
     tasks = rows.groupBy("processing_task_id", "processing_routine_name").agg(
         F.min("tile").alias("tile"),
@@ -86,29 +84,33 @@ def manifest_tasks(run_info: DataFrame, as_of, l1c_dates: DataFrame | None = Non
     routine = F.col("processing_routine_name")
     is_ = lambda *names: routine.isin(*names)
     day = F.when(is_("CC"), F.col("l1c_day")).when(is_("GFSC"), F.col("processing_date")).otherwise(F.col("input_day"))
-    tasks = tasks.withColumn("date", day_to_date(day))
+    tasks = tasks.withColumns({"date": day_to_date(day), "ymd": day.cast("string")})
     if l1c_dates is not None:
         tasks = tasks.join(l1c_dates, "processing_task_id", "left")
     else:
         tasks = tasks.withColumn("product_date", F.lit(None).cast("string"))
-    l1c, l2a, sig0 = parse_l1c(F.col("l1c")), parse_l2a(F.col("l2a")), parse_sig0(F.col("sigma0"))
-    first, last = parse_grd(F.col("grd")), parse_grd(F.col("grd_last"))
-    fmt = lambda pattern: F.date_format("date", pattern)
+    # Each name is split once; the columns keep the optimiser from splitting it again for every field.
+    tasks = tasks.withColumns({
+        "p_main": name_parts(F.coalesce("l1c", "sigma0", "grd", "wic_s1")), "p_l2a": name_parts("l2a"),
+        "p_last": name_parts("grd_last")})
+    main_parts = F.col("p_main")
+    l1c, l2a, sig0 = l1c_fields(main_parts), l2a_fields(F.col("p_l2a")), sig0_fields(main_parts)
+    first, last = grd_fields(main_parts), grd_fields(F.col("p_last"))
     s2, s1 = is_("FSC", "WICS2"), is_("SWS", "WICS1", "WDS")
     join_t = lambda d, t: F.concat(d, F.lit("T"), t)
     # The end of a slice carries the day of its start.
     values = {
-        "year": fmt("yyyy"), "month": fmt("MM"), "day": fmt("dd"), "ymd": fmt("yyyyMMdd"),
+        "year": F.substring("ymd", 1, 4), "month": F.substring("ymd", 5, 2), "day": F.substring("ymd", 7, 2),
         "now": F.date_format(moment(as_of), "yyyyMMdd'T'HHmmss"), "span": F.lit(SPAN_DAYS),
         "name": F.when(is_("CC"), F.col("l1c")).when(s2, F.col("l2a")).when(s1, F.col("sigma0")),
         "stamp": (F.when(is_("CC"), F.coalesce("product_date", l1c["stamp"])).when(s2, join_t(l2a["day"], l2a["time"]))
                   .when(s1, join_t(sig0["day"], sig0["time"])).when(is_("SIG0"), first["start"])),
-        "stop": join_t(F.left(last["start"], F.lit(8)), F.split_part(last["stop"], F.lit("T"), F.lit(2))),
+        "stop": join_t(F.left(last["start"], F.lit(8)), F.substring_index(last["stop"], "T", -1)),
         "acquisition": last["acquisition_id"],
         "mission": (F.when(is_("CC"), l1c["mission"]).when(s2, l2a["short_mission"]).when(s1, sig0["mission"])
                     .when(is_("SIG0"), last["mission"])),
-        "orbit": F.when(is_("SIG0"), pad_orbit("relative_orbit_number")).otherwise(sig0["orbit"]),
-        "slot": half_day(F.substring(F.split_part(F.get(F.split("wic_s1", "_"), F.lit(5)), F.lit("T"), F.lit(2)), 1, 2)
+        "orbit": F.when(is_("SIG0"), pad_orbit("relative_orbit_number")).when(s1, sig0["orbit"]),
+        "slot": half_day(F.substring(F.substring_index(F.get(main_parts, F.lit(5)), "T", -1), 1, 2)
                          .try_cast("int")),
         "mode": cc_mode(F.col("n_inputs")),
         "l2a_folder": F.when(is_("CC"), F.concat_ws("/", F.substring(l2a["day"], 1, 4), F.substring(l2a["day"], 5, 2),
@@ -126,7 +128,7 @@ def manifest_tasks(run_info: DataFrame, as_of, l1c_dates: DataFrame | None = Non
     # Without a template the routine is unknown.
     reason = (F.when(~routine.isin(list(TITLES)), "unknown routine").when(main.isNull(), "missing input")
               .when(~F.coalesce(in_time, F.lit(False)), "date").when(~F.col("name_agrees"), "name"))
-    return tasks.withColumn("reject_reason", reason)
+    return tasks.withColumn("reject_reason", reason).drop("p_main", "p_l2a", "p_last")
 
 
 def manifest_rejects(run_info: DataFrame, as_of) -> DataFrame:
@@ -157,8 +159,9 @@ def manifests(run_info: DataFrame, as_of, roots: dict[str, str] | None = None, l
               routine: str | None = None) -> DataFrame:
     """MAN-01..09 and MAN-11: manifest lines of all good tasks, or of those of one routine.
 
-    The task row is shuffled once, by task; templates are a code table and are broadcast, so writing the lines
-    needs no further shuffle. The list lines read the inputs again and are joined on the same key.
+    The inputs are shuffled once by task to make the task rows, which are written once, as both kinds of lines
+    read them. Templates are a code table and are broadcast, so the single lines need no further shuffle; the list
+    lines join the inputs with the task rows.
     """
     roots = {**ROOTS, **(roots or {})}
     spark = run_info.sparkSession
@@ -175,7 +178,8 @@ def manifests(run_info: DataFrame, as_of, roots: dict[str, str] | None = None, l
     in_line = ["title", "tile", "year", "month", "day", "ymd", "now", "name", "orbit", "span", "mode", "l1c_root",
                "l2a_folder", "l2a"]
     tasks = tasks.join(F.broadcast(titles), "processing_routine_name").withColumn("title", _fill(F.col("title"), in_title))
-    single = (tasks.select("processing_task_id", "processing_routine_name", *in_line)
+    tasks = written(tasks.select("processing_task_id", "processing_routine_name", "grd_root", *in_line), "manifest-tasks")
+    single = (tasks.drop("grd_root")
               .join(F.broadcast(lines), "processing_routine_name")
               .withColumn("value", _fill(F.col("pattern"), in_line)))
     single = single.filter(~F.contains("value", F.lit(UNKNOWN)))

@@ -147,12 +147,12 @@ def _heads(new: DataFrame, cat: Catalogue, rules: Rules, wanted: dict[str, str])
     The inputs are read once, whatever the number of conditions; one anti join on (condition, input) and one join
     on (condition, tile, orbit) serve them all.
     """
-    offers = F.array_compact(F.array(*[
+    offers = F.array(*[
         F.when((F.col("product_type_code") == kind) & (F.col("harvesting_date") >= rules.since(c)), F.lit(c))
-        for c, kind in wanted.items()]))
+        for c, kind in wanted.items()])
     offered = new.filter(F.col("product_type_code").isin(sorted(set(wanted.values())))).select(
         F.explode(offers).alias("condition"), "id", "product_type_code", "tile", "measurement_day",
-        "relative_orbit_number")
+        "relative_orbit_number").filter(F.col("condition").isNotNull())
     taken = (validated_links(cat).filter(F.col("triggering_condition_name").isin(list(wanted)))
              .select(F.col("triggering_condition_name").alias("condition"), F.col("raw_input_id").alias("id")))
     heads = offered.join(taken, ["condition", "id"], "left_anti")

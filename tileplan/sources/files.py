@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tileplan.functions.scalars import day_to_date
+from tileplan.functions.scalars import dashed_day
 
 
 
@@ -66,8 +66,8 @@ def read_tiles(spark: SparkSession, path: str) -> DataFrame:
 
 def auxiliary_paths(tasks: DataFrame) -> DataFrame:
     """Auxiliary data each task needs: (task, day, folder, file); a folder is enough for CC, WICS1 needs two files."""
-    day = F.date_format(day_to_date("measurement_day"), "yyyyMMdd")
-    folder = F.date_format(day_to_date("measurement_day"), "'CAMS'/yyyy/MM/dd/")
+    day = F.col("measurement_day").cast("string")
+    folder = F.concat(F.lit("CAMS/"), F.replace(dashed_day("measurement_day"), F.lit("-"), F.lit("/")), F.lit("/"))
     need = F.when(F.col("processing_routine_name") == "CC", F.array(folder)).when(
         F.col("processing_routine_name") == "WICS1",
         F.array(F.concat(F.lit("FMI_WINDSPEED/"), day, F.lit("_wind_speed.nc")),
