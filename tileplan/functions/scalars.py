@@ -69,7 +69,8 @@ def base_name(c: str | Column) -> Column:
 
 def ns_time(c: str | Column) -> Column:
     """PRJ-12: nanoseconds since the epoch as UTC time text."""
-    seconds = F.floor(_col(c) / 1000000000).cast("bigint")
+    ns = _col(c)
+    seconds = ((ns - F.pmod(ns, F.lit(1000000000))) / 1000000000).cast("bigint")
     start = moment("1970-01-01 00:00:00")
     return F.date_format(start + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss")
 
