@@ -89,7 +89,8 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, fx):
     write_table(fx.raw_inputs, str(tmp_path), "raw_inputs")
     ri = scan(spark, str(tmp_path), "raw_inputs")
     text = plan(op_inputs.unprocessed_grd(ri, fx.raw2valid, "2024-01-31 00:00:00").select("id"))
-    assert "GreaterThanOrEqual(harvesting_date" in text and "EqualTo(product_type_code,IW_GRDH_1S)" in text
+    assert "EqualTo(product" in text and "harvesting_date#" in text.split("DataFilters")[0]
+    assert "ReadSchema: struct<id:string,product_type_code:string,is_partial:boolean,harvesting_date:timestamp_ntz>" in text
     pairs = plan(op_status.wic_pairs(ri))
     assert "ReadSchema: struct<id:string,product_type_code:string,tile:string>" in pairs
 
