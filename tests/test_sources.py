@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from helpers import catalogue, raw, sets, table, ts
+from helpers import catalogue, raw, sets, table
 from pyspark.sql import functions as F
 
 from tileplan.sources import files, sinks

@@ -3,7 +3,7 @@
 import shutil
 
 import pytest
-from helpers import AS_OF, catalogue, raw, rules, sets, table
+from helpers import catalogue, raw, rules, sets, table
 from test_triggers import grd
 
 from tileplan.plans import triggers as trg

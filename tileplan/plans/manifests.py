@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tileplan.functions.names import grd_fields, l1c_fields, l2a_fields, name_parts, sig0_fields
 from tileplan.functions.scalars import base_name, day_to_date, half_day, pad_orbit, path_dir, path_name, source_root
 from tileplan.plans.templates import ROOTS, TITLES, manifest_lines
-from tileplan.session import moment, written
+from tileplan.schemas import struct
+from tileplan.session import moment, small_table, written
 
 # Fixed values.
 SPAN_DAYS = "7"
@@ -171,9 +172,9 @@ def manifests(run_info: DataFrame, as_of, roots: dict[str, str] | None = None, l
     tasks = tasks.withColumns({"l1c_root": source_root("L1C", F.col("date"), roots),
                                "grd_root": source_root("GRD", F.col("date"), roots)})
     wanted = [r for r in TITLES if routine in (None, r)]
-    titles = spark.createDataFrame([(r, TITLES[r]) for r in wanted], "processing_routine_name STRING, title STRING")
-    lines = spark.createDataFrame([x for x in manifest_lines(roots) if x[0] in wanted],
-                                  "processing_routine_name STRING, key STRING, pattern STRING")
+    titles = small_table(spark, [(r, TITLES[r]) for r in wanted], struct("processing_routine_name STRING, title STRING"))
+    lines = small_table(spark, [x for x in manifest_lines(roots) if x[0] in wanted],
+                        struct("processing_routine_name STRING, key STRING, pattern STRING"))
     in_title = ["tile", "stamp", "stop", "acquisition", "orbit", "mission", "ymd", "span", "slot"]
     in_line = ["title", "tile", "year", "month", "day", "ymd", "now", "name", "orbit", "span", "mode", "l1c_root",
                "l2a_folder", "l2a"]

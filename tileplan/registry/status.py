@@ -105,7 +105,7 @@ def _(fx):
     return op.index_failed(fx.products, fx.indexation_workflow)
 
 
-@query("win07_newest_first")
+@query("win07_newest_first", "SELECT * FROM raw_inputs")
 def _(fx):
     return op.ordered(fx.raw_inputs, *op.newest_first())
 

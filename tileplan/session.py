@@ -6,7 +6,10 @@ import datetime as dt
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def build_session(name: str = "tileplan", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,3 +57,10 @@ def moment(value: str | dt.datetime | Column) -> Column:
 def day_number(value: str | dt.date) -> int:
     """A date as the integer yyyymmdd."""
     return int(str(value)[:10].replace("-", ""))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A few fixed rows as a local relation, of which the optimiser knows the size and which needs no job."""
+    fields = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], type=fields.field(i).type) for i in range(len(schema))]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)

@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from tileplan.catalogue import Catalogue
 from tileplan.schemas import SCHEMAS, struct
+from tileplan.session import small_table
 
 IMAGE_HOST = "registry.example.org:443/production"
 
@@ -101,7 +102,7 @@ def schema(table: str) -> StructType:
 
 def code_table(spark: SparkSession, table: str) -> DataFrame:
     """One code table; its few fixed rows make it safe to broadcast."""
-    return F.broadcast(spark.createDataFrame(rows(table), schema(table)))
+    return F.broadcast(small_table(spark, rows(table), schema(table)))
 
 
 def reference_tables(spark: SparkSession) -> Catalogue:
