@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -29,15 +28,8 @@ def build_session(name: str = "tileplan", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder of the machine.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tileplan-")
+    """A new folder below spark.checkpoint.dir, or where that is unset below the warehouse, which is shared as well."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tileplan/{label}-{uuid.uuid4().hex}"
 
 
