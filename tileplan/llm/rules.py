@@ -107,14 +107,15 @@ def posterior(patterns: np.ndarray, counts: np.ndarray, settings: Settings) -> n
 
     The two classes start as "some rule votes bad" and "none does"; each rule has its own chance of each vote in each
     class, smoothed by one pseudo-document. An abstention says nothing about the class, as rules look for different
-    faults. Stops when no probability moves by more than 1e-9.
+    faults. The start counts for half in every estimate, so that the classes keep their meaning. Stops when no probability moves by more than 1e-9.
     """
     n = len(settings.rules)
     votes = np.stack([patterns // 3 ** (n - 1 - j) % 3 for j in range(n)], 1) if len(patterns) else np.zeros((0, n), int)
-    good = np.where((votes == 0).any(1), 0.1, 0.9)
+    start = good = np.where((votes == 0).any(1), 0.1, 0.9)
     for _ in range(settings.rounds):
         score = np.zeros((len(patterns), 2))
-        for c, weight in enumerate((counts * (1 - good), counts * good)):
+        belief = (good + start) / 2
+        for c, weight in enumerate((counts * (1 - belief), counts * belief)):
             score[:, c] = np.log((weight.sum() + 1) / (counts.sum() + 2))
             for j in range(n):
                 chance = np.log((np.bincount(votes[:, j], weights=weight, minlength=3) + 1) / (weight.sum() + 2))
