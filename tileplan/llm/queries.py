@@ -5,25 +5,41 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tileplan.llm import mixing, packing, pseudonyms, rules, tokenfiles
+from tileplan.llm import langid, mixing, neighbours, packing, pages, pseudonyms, rules, tokenfiles
 from tileplan.llm.tables import mounted, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PSEUDONYM_KEY = "tileplan"  # a production job passes its own secret
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return rules.quality(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                       "base_failed", "kept", "quality")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0)
+    known = langid.profiles(docs.where(~F.col("held_out")))
+    return langid.predicted(docs.drop("lang"), known)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.copies(docs.withColumn("size", mixing.words_in(F.col("text"))).drop("text"), text=None).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable(table(spark, sf_dir, "embeddings"))
+    return neighbours.search(vectors, vectors.where(F.col("id") % 50 == 0))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.packed(docs, TOKENIZER, end_id=2)
@@ -40,5 +56,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op6_mixing, op8_packing, op9_token_files, op10_pii)}
+QUERIES = {f.__name__: f for f in (op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
+                                   op9_token_files, op10_pii)}
 ORACLE: dict[str, str] = {}
