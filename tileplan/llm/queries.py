@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tileplan.llm import jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, rules, tokenfiles
+from tileplan.llm import jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, repeats, rules, tokenfiles
 from tileplan.llm.tables import mounted, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PSEUDONYM_KEY = "tileplan"  # a production job passes its own secret
 
 
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
@@ -60,6 +64,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
+QUERIES = {f.__name__: f for f in (op1_repeats, op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
                                    op9_token_files, op10_pii)}
 ORACLE: dict[str, str] = {}
