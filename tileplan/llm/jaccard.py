@@ -7,7 +7,9 @@ partner be. Very frequent shingles come last in the order; that keeps regions sm
 
 Distances to the pivot come first. By the triangle inequality a pair of a region can be near only if its distances to
 the pivot differ by the limit at most, and a pair that is connected already needs no test: so a large group of near
-copies costs one test each. What is left of a region joins recursively around further pivots until none is left.
+copies costs one test each. What is left of a region joins within the region if it is small, else recursively around
+further pivots until none is left. Before whole sets travel, a pair must pass a bound: sets that differ in few
+shingles have outlines (numbers of shingles by hash, SLOTS of them) that differ by no more.
 """
 
 from __future__ import annotations
@@ -32,7 +34,11 @@ class Settings:
     frequent: int = 64  # sets sharing a shingle from which it counts as frequent; order only, never the result
     listed: int = 500_000  # frequent shingles that tasks get as a list of 4 MB at most
     parts: int = 64  # a frequent shingle's sets are dealt over so many tasks
-    pivots: int = 32  # further pivots of a region per round
+    pivots: int = 32  # further pivots of a large region per round
+    small: int = 256  # sets of a region that joins in one task
+
+
+SLOTS = 128
 
 
 def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -71,10 +77,29 @@ def first_shingles(ids: np.ndarray, shingles: np.ndarray, bounds: np.ndarray, pe
     return own[first], ids[once][owner[first]], late[first]
 
 
+def outlines(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Numbers of shingles by SLOTS hash values, at most 255, of each set."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    slot = (shingles % np.uint64(SLOTS)).astype(np.int64)
+    return np.minimum(np.bincount(owner * SLOTS + slot, minlength=n * SLOTS), 255).astype(np.uint8).reshape(n, SLOTS)
+
+
+def may_be_near(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these outlines and sizes can be near: they differ in as many shingles as outlines or sizes do."""
+    least = np.maximum(np.abs(a.astype(np.int16) - b).sum(-1), np.abs(n_a - n_b))
+    return (100 + percent) * least <= (100 - percent) * (n_a + n_b)
+
+
+def rows_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SLOTS)
+
+
 def survey(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of two kinds: (key, id, n) of each document, and (gram, n) of the first shingles that one task met in
+    """Rows of two kinds: (key, id, n, outline) of each document, and (gram, n) of the first shingles that one task met in
     several sets."""
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("gram", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("gram", pa.int64()),
+                        ("outline", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, none = [], np.zeros(0, np.uint64)
@@ -82,14 +107,15 @@ def survey(docs: DataFrame, settings: Settings) -> DataFrame:
             ids, shingles, bounds = sets_of(batch.column("text"), settings.width)
             met.append(first_shingles(ids, shingles, bounds, settings.percent, none)[0])
             n = batch.num_rows
-            yield batch_of(schema, batch.column("key"), ids.astype(np.int64), np.diff(bounds), pa.nulls(n, pa.int64()))
+            yield batch_of(schema, batch.column("key"), ids.astype(np.int64), np.diff(bounds), pa.nulls(n, pa.int64()),
+                           [o.tobytes() for o in outlines(shingles, bounds)])
         gram, times = np.unique(np.concatenate([none, *met]), return_counts=True)
         several = times > 1
         gram, times = gram[several].astype(np.int64), times[several]
         empty = pa.nulls(len(gram), pa.int64())
-        yield batch_of(schema, empty, empty, times, gram)
+        yield batch_of(schema, empty, empty, times, gram, pa.nulls(len(gram), pa.binary()))
 
-    return docs.mapInArrow(run, "key LONG, id LONG, n LONG, gram LONG")
+    return docs.mapInArrow(run, "key LONG, id LONG, n LONG, gram LONG, outline BINARY")
 
 
 def regions(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFrame:
@@ -133,15 +159,19 @@ def stored_sets(docs: DataFrame, info: DataFrame, wanted: DataFrame, settings: S
     schema = pa.schema([("id", pa.int64()), ("grams", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows with equal keys come to one task
         for batch in slices(batches):
             ids, shingles, bounds = sets_of(batch.column("text"), settings.width)
             same = np.flatnonzero(ids.astype(np.int64) == batch.column("id").to_numpy())
+            same = [i for i in same.tolist() if ids[i] not in seen]
+            same = [same[i] for i in np.sort(np.unique(ids[same], return_index=True)[1])]
+            seen.update(ids[same].tolist())
             yield batch_of(schema, ids[same].astype(np.int64),
                            [shingles[bounds[i]:bounds[i + 1]].tobytes() for i in same])
 
-    one = info.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("key").alias("key"))
+    one = info.select("id", "key").join(wanted, "id", "left_semi").groupBy("id").agg(F.min("key").alias("key"))
     chosen = docs.alias("d").join(one.alias("o"), F.expr("d.key <=> o.key")).select("d.text", "o.id")
-    return chosen.mapInArrow(run, "id LONG, grams BINARY").dropDuplicates(["id"])
+    return chosen.mapInArrow(run, "id LONG, grams BINARY")
 
 
 def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -168,6 +198,49 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select(*kept, "_a", "_b").mapInArrow(run, f"{kinds}, shared LONG, n_a LONG, n_b LONG")
 
 
+def screened(pairs: DataFrame, outline: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose outlines allow that they are near."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+                keep = pa.array(may_be_near(rows_of(batch.column("_a")), rows_of(batch.column("_b")), n_a, n_b,
+                                            settings.percent))
+                yield batch_of(schema, batch.column("a").filter(keep), batch.column("b").filter(keep))
+
+    both = pairs.join(outline.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("outline").alias("_a")), "a").join(
+        outline.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("outline").alias("_b")), "b")
+    return both.select("a", "b", "n_a", "n_b", "_a", "_b").mapInArrow(run, "a LONG, b LONG")
+
+
+def within_regions(named: DataFrame, outline: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) inside each small region that are not connected, that the distances to the pivot allow (where both
+    are known) and that pass the bound. ``named`` is (pivot, x, d, label)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    limit = 1 - settings.percent / 100 + 1e-9
+
+    def run(region: pa.Table) -> pa.Table:
+        region = region.combine_chunks()
+        x, n, label = (region.column(c).to_numpy() for c in ("x", "n", "label"))
+        d = region.column("d").to_numpy()
+        outline = rows_of(region.column("outline"))
+        found = []
+        for i in range(len(x) - 1):
+            ok = label[i + 1:] != label[i]
+            ok &= ~(np.abs(d[i + 1:] - d[i]) > limit)
+            j = np.flatnonzero(ok) + i + 1
+            j = j[may_be_near(outline[j], outline[i], n[j], n[i], settings.percent)]
+            found.append(np.stack([np.minimum(x[i], x[j]), np.maximum(x[i], x[j])], 1))
+        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+        return pa.table([pairs[:, 0], pairs[:, 1]], schema=schema)
+
+    rows = named.join(outline.withColumnRenamed("id", "x"), "x")
+    return rows.select("pivot", "x", "d", "label", "n", "outline").groupBy("pivot").applyInArrow(
+        run, "a LONG, b LONG").distinct()
+
+
 def near(percent: int) -> Column:
     return 100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))
 
@@ -181,40 +254,54 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     docs = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     surveyed = written(survey(docs, settings), "survey")
     info = surveyed.where(F.col("gram").isNull()).select("key", "id", "n")
+    outline = written(surveyed.where("gram IS NULL AND n > 0").groupBy("id").agg(
+        F.first("n").alias("n"), F.first("outline").alias("outline")), "outlines")
     frequent = (surveyed.where(F.col("gram").isNotNull()).groupBy("gram").agg(F.sum("n").alias("n"))
                 .where(F.col("n") > settings.frequent).orderBy(F.desc("n"), "gram").limit(settings.listed).collect())
     listed = np.sort(np.array([r.gram for r in frequent], np.int64).astype(np.uint64))
     members = written(regions(docs, listed, settings), "members")
-    wanted = members.select(F.col("x").alias("id")).union(members.select("pivot")).distinct()
-    sets = written(stored_sets(docs, info, wanted, settings), "sets")
-    tested = written(measured(members.select(F.col("x").alias("a"), F.col("pivot").alias("b")), sets), "tested")
-    links = tested.where(near(settings.percent)).select("a", "b")
+    stars = written(screened(members.select(F.col("x").alias("a"), F.col("pivot").alias("b")), outline, settings), "stars")
+
+    def tested(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        sets = written(stored_sets(docs, info, wanted, settings), "sets")
+        return written(measured(pairs, sets), "tested")
+
+    measured_stars = tested(stars)
+    links = measured_stars.where(near(settings.percent)).select("a", "b")
     labels = components(links)
     distance = 1 - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    region = tested.select(F.col("b").alias("pivot"), F.col("a").alias("x"), distance.alias("d"), F.col("n_a").alias("n"))
+    region = written(members.join(measured_stars.select(F.col("a").alias("x"), F.col("b").alias("pivot"), distance.alias(
+        "d")), ["x", "pivot"], "left"), "region")
+    named = labelled(labelled(region, labels, "x", "label"), labels, "pivot", "home")
+    open_ = named.groupBy("pivot").agg(F.count("*").alias("many"), F.max(F.col("label") != F.col("home")).alias("open")).where(
+        "open AND many > 1").select("pivot", "many")
+    small = named.join(open_.where(F.col("many") <= settings.small).select("pivot"), "pivot", "left_semi")
+    pairs = written(within_regions(small, outline, settings), "pairs")
+    if pairs.limit(1).count():
+        links = links.union(tested(pairs).where(near(settings.percent)).select("a", "b"))
+    large = written(region.join(open_.where(F.col("many") > settings.small).select("pivot"), "pivot", "left_semi"), "large")
     used = None
-    while True:
-        named = labelled(labelled(region, labels, "x", "label"), labels, "pivot", "home")
+    while large.limit(1).count():
+        labels = components(links)
+        named = labelled(labelled(large, labels, "x", "label"), labels, "pivot", "home")
         open_ = named.where("label <> home")
         if used is not None:
             open_ = open_.join(used, ["pivot", "x"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("pivot").orderBy("x"))
         chosen = written(open_.withColumn("_rank", rank).where(F.col("_rank") <= settings.pivots).select(
-            "pivot", "x", "d", "n", "label"), "pivots")
+            "pivot", "x", "d", "label"), "pivots")
         if not chosen.limit(1).count():
             break
         limit = 1 - settings.percent / 100 + 1e-9
-        q, m = chosen.alias("q"), named.alias("m")
-        pairs = q.join(m, F.expr(
-            f"q.pivot = m.pivot AND q.x <> m.x AND q.label <> m.label AND abs(q.d - m.d) <= {limit} "
-            f"AND 100 * least(q.n, m.n) >= {settings.percent} * greatest(q.n, m.n)")).select(
+        pairs = chosen.alias("q").join(named.alias("m"), F.expr(
+            f"q.pivot = m.pivot AND q.x <> m.x AND q.label <> m.label AND coalesce(abs(q.d - m.d) <= {limit}, true)")).select(
             F.least("q.x", "m.x").alias("a"), F.greatest("q.x", "m.x").alias("b")).distinct()
-        more = measured(pairs, sets).where(near(settings.percent)).select("a", "b")
-        before = links
-        links = written(before.union(more).distinct(), "links")
-        labels = components(links)
+        more = tested(written(screened(pairs, outline, settings), "pairs")).where(near(settings.percent)).select("a", "b")
+        links = written(links.union(more).distinct(), "links")
         done = chosen.select("pivot", "x")
         used = written(done if used is None else used.union(done), "used")
+    labels = components(links)
     found = labelled(info, labels, "id", "label")
     smallest = found.where("n > 0").groupBy("label").agg(F.min("key").alias("component_id"))
     return found.join(smallest, "label", "left").select(
