@@ -9,7 +9,7 @@ Distances to the pivot come first. By the triangle inequality a pair of a region
 the pivot differ by the limit at most, and a pair that is connected already needs no test: so a large group of near
 copies costs one test each. What is left of a region joins within the region if it is small, else recursively around
 further pivots until none is left. Before whole sets travel, a pair must pass a bound: sets that differ in few
-shingles have outlines (numbers of shingles by hash, SLOTS of them) that differ by no more.
+shingles have outlines (numbers of shingles by hash, more slots for larger sets) that differ by no more.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ class Settings:
     small: int = 256  # sets of a region that joins in one task
 
 
-SLOTS = 128
+SMALLEST = 32
 
 
 def set_ids(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -77,22 +77,25 @@ def first_shingles(ids: np.ndarray, shingles: np.ndarray, bounds: np.ndarray, pe
     return own[first], ids[once][owner[first]], late[first]
 
 
-def outlines(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Numbers of shingles by SLOTS hash values, at most 255, of each set."""
-    n = len(bounds) - 1
-    owner = np.repeat(np.arange(n), np.diff(bounds))
-    slot = (shingles % np.uint64(SLOTS)).astype(np.int64)
-    return np.minimum(np.bincount(owner * SLOTS + slot, minlength=n * SLOTS), 255).astype(np.uint8).reshape(n, SLOTS)
+def outlines(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Numbers of shingles by hash, at most 255 each, of each set. The number of slots is a power of 2 from an eighth of
+    the set's size, so an outline with more slots folds to one with fewer."""
+    slots = np.maximum(SMALLEST, 1 << np.ceil(np.log2(np.maximum(np.diff(bounds) / 8, 1))).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(slots)])
+    owner = np.repeat(np.arange(len(slots)), np.diff(bounds))
+    place = begin[owner] + (shingles & (slots[owner] - 1).astype(np.uint64)).astype(np.int64)
+    counts = np.minimum(np.bincount(place, minlength=int(begin[-1])), 255).astype(np.uint8)
+    return [counts[a:b].tobytes() for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
 
 
-def may_be_near(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
+def may_be_near(a: bytes, b: bytes, n_a: int, n_b: int, percent: int) -> bool:
     """Whether sets of these outlines and sizes can be near: they differ in as many shingles as outlines or sizes do."""
-    least = np.maximum(np.abs(a.astype(np.int16) - b).sum(-1), np.abs(n_a - n_b))
-    return (100 + percent) * least <= (100 - percent) * (n_a + n_b)
-
-
-def rows_of(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SLOTS)
+    most = (100 - percent) * (n_a + n_b)
+    if (100 + percent) * abs(n_a - n_b) > most:
+        return False
+    size = min(len(a), len(b))
+    x, y = (np.frombuffer(o, np.uint8).reshape(-1, size).sum(0, dtype=np.int64) for o in (a, b))
+    return (100 + percent) * int(np.abs(x - y).sum()) <= most
 
 
 def survey(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -108,7 +111,7 @@ def survey(docs: DataFrame, settings: Settings) -> DataFrame:
             met.append(first_shingles(ids, shingles, bounds, settings.percent, none)[0])
             n = batch.num_rows
             yield batch_of(schema, batch.column("key"), ids.astype(np.int64), np.diff(bounds), pa.nulls(n, pa.int64()),
-                           [o.tobytes() for o in outlines(shingles, bounds)])
+                           outlines(shingles, bounds))
         gram, times = np.unique(np.concatenate([none, *met]), return_counts=True)
         several = times > 1
         gram, times = gram[several].astype(np.int64), times[several]
@@ -205,9 +208,8 @@ def screened(pairs: DataFrame, outline: DataFrame, settings: Settings) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-                keep = pa.array(may_be_near(rows_of(batch.column("_a")), rows_of(batch.column("_b")), n_a, n_b,
-                                            settings.percent))
+                rows = zip(*(batch.column(c).to_pylist() for c in ("_a", "_b", "n_a", "n_b")), strict=True)
+                keep = pa.array([may_be_near(*row, settings.percent) for row in rows])
                 yield batch_of(schema, batch.column("a").filter(keep), batch.column("b").filter(keep))
 
     both = pairs.join(outline.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("outline").alias("_a")), "a").join(
@@ -215,30 +217,33 @@ def screened(pairs: DataFrame, outline: DataFrame, settings: Settings) -> DataFr
     return both.select("a", "b", "n_a", "n_b", "_a", "_b").mapInArrow(run, "a LONG, b LONG")
 
 
-def within_regions(named: DataFrame, outline: DataFrame, settings: Settings) -> DataFrame:
+def within_regions(named: DataFrame, outline: DataFrame, settings: Settings, ids_only: bool = False) -> DataFrame:
     """Pairs (a, b) inside each small region that are not connected, that the distances to the pivot allow (where both
-    are known) and that pass the bound. ``named`` is (pivot, x, d, label)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    are known) and that pass the bound. ``named`` is (pivot, x, d, label). ``ids_only`` gives the ids (id) of which
+    there is such a pair."""
     limit = 1 - settings.percent / 100 + 1e-9
 
     def run(region: pa.Table) -> pa.Table:
         region = region.combine_chunks()
         x, n, label = (region.column(c).to_numpy() for c in ("x", "n", "label"))
         d = region.column("d").to_numpy()
-        outline = rows_of(region.column("outline"))
+        drawn = region.column("outline").to_pylist()
         found = []
         for i in range(len(x) - 1):
-            ok = label[i + 1:] != label[i]
-            ok &= ~(np.abs(d[i + 1:] - d[i]) > limit)
-            j = np.flatnonzero(ok) + i + 1
-            j = j[may_be_near(outline[j], outline[i], n[j], n[i], settings.percent)]
-            found.append(np.stack([np.minimum(x[i], x[j]), np.maximum(x[i], x[j])], 1))
-        pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-        return pa.table([pairs[:, 0], pairs[:, 1]], schema=schema)
+            rest = slice(i + 1, None)
+            ok = (label[rest] != label[i]) & ~(np.abs(d[rest] - d[i]) > limit)
+            ok &= (100 + settings.percent) * np.abs(n[rest] - n[i]) <= (100 - settings.percent) * (n[rest] + n[i])
+            found += [(i, j) for j in (np.flatnonzero(ok) + i + 1).tolist()
+                      if may_be_near(drawn[i], drawn[j], int(n[i]), int(n[j]), settings.percent)]
+        at = np.array(found, np.int64).reshape(-1, 2)
+        if ids_only:
+            return pa.table({"id": x[np.unique(at)]})
+        return pa.table({"a": x[at].min(1), "b": x[at].max(1)}) if len(at) else pa.table(
+            {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
     rows = named.join(outline.withColumnRenamed("id", "x"), "x")
     return rows.select("pivot", "x", "d", "label", "n", "outline").groupBy("pivot").applyInArrow(
-        run, "a LONG, b LONG").distinct()
+        run, "id LONG" if ids_only else "a LONG, b LONG").distinct()
 
 
 def near(percent: int) -> Column:
@@ -262,9 +267,15 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     members = written(regions(docs, listed, settings), "members")
     stars = written(screened(members.select(F.col("x").alias("a"), F.col("pivot").alias("b")), outline, settings), "stars")
 
+    sizes = members.groupBy("pivot").agg(F.count("*").alias("many"))
+    own = members.union(members.select(F.col("pivot").alias("x"), "pivot").distinct())
+    alone = own.join(sizes.where(F.col("many") < settings.small), "pivot", "left_semi").select(
+        "pivot", "x", F.lit(None).cast("double").alias("d"), F.col("x").alias("label"))
+    crowd = own.join(sizes.where(F.col("many") >= settings.small), "pivot", "left_semi").select(F.col("x").alias("id"))
+    wanted = written(within_regions(alone, outline, settings, ids_only=True).union(crowd).distinct(), "wanted")
+    sets = written(stored_sets(docs, info, wanted, settings), "sets")
+
     def tested(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        sets = written(stored_sets(docs, info, wanted, settings), "sets")
         return written(measured(pairs, sets), "tested")
 
     measured_stars = tested(stars)
@@ -276,11 +287,11 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     named = labelled(labelled(region, labels, "x", "label"), labels, "pivot", "home")
     open_ = named.groupBy("pivot").agg(F.count("*").alias("many"), F.max(F.col("label") != F.col("home")).alias("open")).where(
         "open AND many > 1").select("pivot", "many")
-    small = named.join(open_.where(F.col("many") <= settings.small).select("pivot"), "pivot", "left_semi")
+    small = named.join(open_.where(F.col("many") < settings.small).select("pivot"), "pivot", "left_semi")
     pairs = written(within_regions(small, outline, settings), "pairs")
     if pairs.limit(1).count():
         links = links.union(tested(pairs).where(near(settings.percent)).select("a", "b"))
-    large = written(region.join(open_.where(F.col("many") > settings.small).select("pivot"), "pivot", "left_semi"), "large")
+    large = written(region.join(open_.where(F.col("many") >= settings.small).select("pivot"), "pivot", "left_semi"), "large")
     used = None
     while large.limit(1).count():
         labels = components(links)
