@@ -34,8 +34,8 @@ class Settings:
     frequent: int = 64  # sets sharing a shingle from which it counts as frequent; order only, never the result
     listed: int = 500_000  # frequent shingles that tasks get as a list of 4 MB at most
     parts: int = 64  # a frequent shingle's sets are dealt over so many tasks
-    pivots: int = 32  # further pivots of a large region per round
-    small: int = 256  # sets of a region that joins in one task
+    pivots: int = 256  # further pivots of a large region in the first round, four times as many in each next one
+    small: int = 1024  # sets of a region from which it is too large to join in one task
 
 
 SMALLEST = 32
@@ -292,7 +292,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     if pairs.limit(1).count():
         links = links.union(tested(pairs).where(near(settings.percent)).select("a", "b"))
     large = written(region.join(open_.where(F.col("many") >= settings.small).select("pivot"), "pivot", "left_semi"), "large")
-    used = None
+    used, pivots = None, settings.pivots
     while large.limit(1).count():
         labels = components(links)
         named = labelled(labelled(large, labels, "x", "label"), labels, "pivot", "home")
@@ -300,7 +300,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
         if used is not None:
             open_ = open_.join(used, ["pivot", "x"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("pivot").orderBy("x"))
-        chosen = written(open_.withColumn("_rank", rank).where(F.col("_rank") <= settings.pivots).select(
+        chosen = written(open_.withColumn("_rank", rank).where(F.col("_rank") <= pivots).select(
             "pivot", "x", "d", "label"), "pivots")
         if not chosen.limit(1).count():
             break
@@ -310,6 +310,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
             F.least("q.x", "m.x").alias("a"), F.greatest("q.x", "m.x").alias("b")).distinct()
         more = tested(written(screened(pairs, outline, settings), "pairs")).where(near(settings.percent)).select("a", "b")
         links = written(links.union(more).distinct(), "links")
+        pivots *= 4
         done = chosen.select("pivot", "x")
         used = written(done if used is None else used.union(done), "used")
     labels = components(links)
