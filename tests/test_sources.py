@@ -73,6 +73,12 @@ def test_insert_ignore_keeps_the_first(spark):
     assert nothing.count() == 0
 
 
+def test_rows_without_key_are_not_inserted_and_not_lost(spark):
+    new = table(spark, "raw_inputs", [{**raw("a", "S2MSI1C"), "id": None, "input_path": p} for p in "xy"] + [raw("b", "S2MSI1C")])
+    assert sets(sinks.insert_ignore(new.limit(0), new, "id"), "id") == [("b",)]
+    assert sets(sinks.keyless(new, "id"), "input_path") == [("x",), ("y",)]
+
+
 def test_numbering_is_dense(spark):
     rows = spark.range(5000).select(F.col("id").cast("string").alias("k"))
     ids = sinks.numbered(rows, "k", spark.range(10).select("id"))

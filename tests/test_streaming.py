@@ -1,5 +1,6 @@
 """Streams: restart, late slices, orphans; the result of a stream is that of the batch."""
 
+import datetime as dt
 import shutil
 
 import pytest
@@ -7,6 +8,7 @@ from helpers import catalogue, raw, rules, sets, table
 from test_triggers import grd
 
 from tileplan.plans import triggers as trg
+from tileplan.schemas import SCHEMAS
 from tileplan.streaming import feeds, jobs, pairing
 
 
@@ -40,7 +42,7 @@ def test_triggers_stream_equals_batch_and_survives_a_repeat(spark, tmp_path):
     conf = rules(spark)
 
     def run(checkpoint):
-        jobs.run_triggers(feeds.stream_table(spark, root, "raw_inputs"), cat, conf, root, checkpoint).awaitTermination()
+        jobs.run_triggers(feeds.stream_table(spark, root, "raw_inputs"), lambda: cat, conf, root, checkpoint).awaitTermination()
         return sets(jobs.BatchTable(spark, root, "raw2valid").rows(), "trigger_validation_id", "raw_input_id")
 
     first = run(f"{root}/checkpoint")
@@ -70,7 +72,54 @@ def test_queue_drops_repeats(spark, tmp_path):
     add_file(spark, root, "processing_tasks", [task, task, {**task, "id": 2}, {**task, "id": 3}])
     deployed = spark.createDataFrame([(3,)], "id BIGINT")
     stream = feeds.stream_table(spark, root, "processing_tasks")
-    assert sets(jobs.run_available(jobs.run_queue(stream, deployed), "queue"), "id") == [(1,), (2,)]
+    jobs.run_queue(stream, lambda: deployed, f"{root}/queue", f"{root}/checkpoint").awaitTermination()
+    assert sets(spark.read.parquet(f"{root}/queue"), "id") == [(1,), (2,)]
+
+
+def test_queue_takes_old_tasks_after_newer_ones(spark, tmp_path):
+    root = str(tmp_path)
+    for id, day in ((1, 10), (2, 11), (3, 2), (4, 12)):
+        add_file(spark, root, "processing_tasks", [{"id": id, "trigger_validation_fk_id": id, "has_ended": False,
+                                                    "creation_date": dt.datetime(2025, 1, day)}])
+        stream = feeds.stream_table(spark, root, "processing_tasks")
+        deployed = lambda: spark.createDataFrame([(4,)], "id BIGINT")
+        jobs.run_queue(stream, deployed, f"{root}/queue", f"{root}/checkpoint").awaitTermination()
+    assert sets(spark.read.parquet(f"{root}/queue"), "id") == [(1,), (2,), (3,)]
+
+
+def test_late_slice_makes_a_pair_and_a_third_is_no_orphan(spark, tmp_path):
+    root = str(tmp_path)
+
+    def feed(*rows):
+        add_file(spark, root, "raw_inputs", list(rows))
+        stream = feeds.stream_table(spark, root, "raw_inputs")
+        return sets(jobs.run_available(pairing.stream_grd(stream), "grd", f"{root}/out", f"{root}/checkpoint"),
+                    "kind", "first_id")
+
+    clock = lambda id, at: grd(id, "060000", "060020", tile=f"32T{id}", harvested=f"2025-01-30 {at}:00")
+    feed(grd("a", "060000", "060020", harvested="2025-01-30 06:30:00"))
+    feed(clock("c1", "07:30"))
+    assert feed(grd("b", "060020", "060040", at="2025-01-30 06:00:20", harvested="2025-01-30 06:31:00")) == [("pair", "a")]
+    feed(grd("c", "060040", "060100", at="2025-01-30 06:00:40", harvested="2025-01-30 07:31:00"))
+    assert feed(clock("c2", "12:00")) == [("orphan", "c1"), ("pair", "a")]
+
+
+def test_triggers_see_inputs_that_come_after_the_start(spark, tmp_path):
+    root = str(tmp_path)
+    cat = catalogue(spark)
+    for name in ("trigger_validation", "raw2valid"):
+        jobs.BatchTable(spark, root, name).write(getattr(cat, name), jobs.SEED)
+    opened = lambda: cat.replace(raw_inputs=spark.read.schema(SCHEMAS["raw_inputs"]).parquet(f"{root}/raw_inputs"))
+    add_file(spark, root, "raw_inputs", [raw("m1", "S2_MAJA_L2A")])
+    query = jobs.run_triggers(feeds.stream_table(spark, root, "raw_inputs"), opened, rules(spark), root,
+                              f"{root}/checkpoint", every="1 second")
+    query.processAllAvailable()
+    add_file(spark, root, "raw_inputs", [raw("s1", "S1_NRB_L2A", orbit=9), raw("f1", "S2_FSC_L2B")])
+    query.processAllAvailable()
+    query.stop()
+    made = jobs.BatchTable(spark, root, "trigger_validation").rows()
+    assert ("WDS_TC",) in sets(made, "triggering_condition_name")
+    assert made.where("is_nrt IS NULL").count() == 0
 
 
 @pytest.mark.parametrize("is_update,old,hit", [(False, None, True), (True, 1, True), (True, 2, False), (True, None, True)])

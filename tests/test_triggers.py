@@ -52,6 +52,30 @@ def test_grd_orphans(spark):
     assert sets(second, "raw_input_id") == [] and state2.count() == 1
 
 
+def one_by_one(rows, newest_first):
+    """WDS over inputs that come one after the other: the ids that fire."""
+    sig0 = [r for r in rows if r["product_type_code"] == "S1_NRB_L2A"]
+    fsc = [r for r in rows if r["product_type_code"] == "S2_FSC_L2B"]
+    turn = lambda r: (r["harvesting_date"], r["id"])
+    bound, fired = set(), []
+    for r in sorted(rows, key=turn, reverse=newest_first):
+        if r["id"] in bound or not sig0 or not fsc:
+            continue
+        fired.append(r["id"])
+        bound |= {r["id"], *([f["id"] for f in fsc] if r in sig0 else [max(sig0, key=turn)["id"]])}
+    return sorted(fired)
+
+
+@pytest.mark.parametrize("newest_first", [False, True])
+@pytest.mark.parametrize("order", ["sf", "fs", "ssf", "sfs", "fss", "fsf", "ffsfs", "sffs", "s", "f"])
+def test_wds_fires_as_if_inputs_came_one_by_one(spark, order, newest_first):
+    rows = [raw(f"{kind}{i}", {"s": "S1_NRB_L2A", "f": "S2_FSC_L2B"}[kind], orbit=9, harvested=f"2025-01-30 0{i + 1}:00:00")
+            for i, kind in enumerate(order)]
+    cat = catalogue(spark, raw_inputs=rows)
+    got = trg.trigger_all(cat.raw_inputs, cat, rules(spark), newest_first).where("condition = 'WDS_TC'").select("first_id")
+    assert sets(got.distinct(), "first_id") == [(i,) for i in one_by_one(cat.raw_inputs.collect(), newest_first)]
+
+
 def test_wds_from_fsc_binds_only_the_last_sig0(spark):
     cat = catalogue(spark, raw_inputs=[
         raw("f1", "S2_FSC_L2B"), raw("f2", "S2_FSC_L2B"), raw("s1", "S1_NRB_L2A", orbit=9),

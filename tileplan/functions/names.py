@@ -18,6 +18,10 @@ def _time(text: Column, fmt: str) -> Column:
     return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
 
 
+def _after_letter(text: Column) -> Column:
+    return F.substr(text, F.lit(2))
+
+
 def _number(text: Column, kind: str = "bigint") -> Column:
     return text.try_cast(kind)
 
@@ -30,7 +34,7 @@ def grd_fields(p: Column) -> Column:
 def l1c_fields(p: Column) -> Column:
     stamp = F.get(p, F.lit(2))
     return F.struct(F.get(p, F.lit(0)).alias("mission"), F.substring_index(stamp, "T", 1).alias("day"),
-                    stamp.alias("stamp"), F.get(p, F.lit(5)).substr(2, 99).alias("tile"))
+                    stamp.alias("stamp"), _after_letter(F.get(p, F.lit(5))).alias("tile"))
 
 
 def l2a_fields(p: Column) -> Column:
@@ -38,14 +42,14 @@ def l2a_fields(p: Column) -> Column:
     return F.struct(mission.alias("mission"), F.concat(F.lit("S2"), F.right(mission, F.lit(1))).alias("short_mission"),
                     F.substring_index(moment_, "-", 1).alias("day"),
                     F.substring_index(F.substring_index(moment_, "-", 2), "-", -1).alias("time"),
-                    F.get(p, F.lit(3)).substr(2, 99).alias("tile"))
+                    _after_letter(F.get(p, F.lit(3))).alias("tile"))
 
 
 def sig0_fields(p: Column) -> Column:
     stamp = F.get(p, F.lit(1))
     return F.struct(F.try_element_at(p, F.lit(-2)).substr(1, 3).alias("mission"),
                     F.substring_index(stamp, "T", 1).alias("day"), F.substring_index(stamp, "T", -1).alias("time"),
-                    F.get(p, F.lit(5)).substr(2, 99).alias("tile"), F.get(p, F.lit(4)).alias("orbit"))
+                    _after_letter(F.get(p, F.lit(5))).alias("tile"), F.get(p, F.lit(4)).alias("orbit"))
 
 
 def name_parts(name: str | Column) -> Column:
@@ -92,7 +96,7 @@ def _product_fields() -> dict[str, Column]:
              .when(gfsc, _time(cut(3), "yyyyMMdd")))
     return {
         "start_date": start,
-        "tile": tile_part.substr(2, 99),
+        "tile": _after_letter(tile_part),
         "measurement_day": _number(day_text),
         "relative_orbit_number": F.when(sig0, _number(_part(name, 4), "int")),
     }

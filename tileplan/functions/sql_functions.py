@@ -58,8 +58,10 @@ FUNCTIONS = {
         JOIN processingtask2nomad n ON n.nomad_job_id = j.id WHERE n.processing_task_id = task""",
     f"get_current_nomad_job_dispatch_by_processing_task_id(task BIGINT) RETURNS TABLE ({_DISPATCH})":
         """SELECT x.j.id, x.j.nomad_job_dispatch, x.j.dispatch_date, x.j.log_path FROM (
-            SELECT max(struct(j.dispatch_date, j.id, j.nomad_job_dispatch, j.log_path)) AS j FROM nomad_job_dispatch j
-            JOIN processingtask2nomad n ON n.nomad_job_id = j.id WHERE n.processing_task_id = task) x WHERE x.j IS NOT NULL""",
+            SELECT max(struct(j.dispatch_date, s.last_status, j.id, j.nomad_job_dispatch, j.log_path)) AS j
+            FROM nomad_job_dispatch j JOIN processingtask2nomad n ON n.nomad_job_id = j.id
+            LEFT JOIN (SELECT nomad_job_dispatch_fk_id AS job, max(date) AS last_status FROM processing_status_workflow
+                GROUP BY nomad_job_dispatch_fk_id) s ON s.job = j.id WHERE n.processing_task_id = task) x WHERE x.j IS NOT NULL""",
     "are_all_processing_tasks_in_vm_processed(vm STRING) RETURNS BOOLEAN":
         "SELECT bool_and(t.is_processed) FROM processed_flag_v t JOIN task_worker_v w ON w.id = t.id WHERE w.worker = vm",
     f"get_preceding_processing_task(task BIGINT) RETURNS TABLE ({_TASK})":

@@ -252,7 +252,7 @@ def products_becoming_inputs(cat: Catalogue, consumed: DataFrame, since) -> Data
     ``consumed`` names the input types of the conditions (``condition_inputs``).
     """
     wanted = (cat.products.filter(F.col("creation_date") >= moment(since))
-              .join(F.broadcast(consumed.select("product_type_code").distinct()), "product_type_code", "left_semi"))
+              .join(consumed.select("product_type_code"), "product_type_code", "left_semi"))
     place = members(cat).select(F.col("trigger_validation_id").alias("trigger_validation_fk_id"), "tile",
                                 "measurement_day")
     return (wanted.join(place, "trigger_validation_fk_id")

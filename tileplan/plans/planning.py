@@ -57,8 +57,7 @@ def nrt_window(params: DataFrame, ri: DataFrame, as_of) -> DataFrame:
     days = lambda c: F.make_dt_interval(days=F.col(c).cast("int"))
     last = last_input(ri).select(F.col("product_type_code").alias("input_type"), "last_publishing_date")
     floor = now - days("max_day_since_publication_date")
-    # The sources are a handful of rows, so they are the side to broadcast.
-    return (last.join(F.broadcast(params), "input_type", "right")
+    return (last.join(params, "input_type", "right")
             .withColumn("known", F.when(F.coalesce("timeliness", F.lit("")) == "", F.col("last_publishing_date")))
             .select(source_key().alias("source"), "input_type",
                     (now - days("max_day_since_measurement_date")).alias("min_measurement_date"),

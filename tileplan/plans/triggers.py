@@ -287,16 +287,43 @@ def trg_wics1s2(cat: Catalogue, rules: Rules) -> DataFrame:
     return _with_partners(heads, partners, "WICS1S2_TC", is_nrt)
 
 
-def trigger_all(new: DataFrame, cat: Catalogue, rules: Rules) -> DataFrame:
-    """TRG-13: new inputs to the triggers of their type."""
-    branches = [trg_sig0_full(new), trg_single(new, cat, rules), trg_wds_from_sig0(new, cat, rules),
-                trg_wds_from_fsc(new, cat, rules)]
-    return reduce(DataFrame.unionByName, branches)
+def wds_in_sequence(sig0: DataFrame, fsc: DataFrame, new: DataFrame, newest_first: bool = False) -> DataFrame:
+    """The WDS candidates that fire when the inputs of a batch come one after the other, by harvest and id.
+
+    A firing backscatter binds all FSC of its tile and day, so none of them fires afterwards. A firing FSC binds the
+    last backscatter only, so that one does not fire afterwards, while others do. Hence the last backscatter fires
+    unless an FSC comes before every backscatter, and an FSC fires if no backscatter has fired before it.
+    """
+    keys = ["tile", "measurement_day"]
+    pick, earliest = (F.max, F.greatest) if newest_first else (F.min, F.least)
+    before = (lambda a, b: a > b) if newest_first else (lambda a, b: a < b)
+    own = lambda rows, kind: rows.filter(F.col("raw_input_id") == F.col("first_id")).select(
+        *keys, "candidate_key", "first_id", F.lit(kind).alias("kind"))
+    at = new.select(F.col("id").alias("first_id"), "harvesting_date")
+    last = fsc.filter(F.col("raw_input_id") != F.col("first_id")).groupBy(*keys).agg(F.max("raw_input_id").alias("last_id"))
+    heads = own(sig0, "sig0").unionByName(own(fsc, "fsc")).join(at, "first_id").join(last, keys, "left").select(
+        *keys, "candidate_key", F.struct("harvesting_date", "first_id").alias("turn"),
+        F.when((F.col("kind") == "sig0") & F.col("first_id").eqNullSafe(F.col("last_id")), "last")
+        .otherwise(F.col("kind")).alias("kind"))
+    turn = lambda kind: pick(F.when(F.col("kind") == kind, F.col("turn"))).alias(f"{kind}_turn")
+    turns = heads.groupBy(*keys).agg(turn("sig0"), turn("last"), turn("fsc")).withColumn(
+        "last_fires", F.coalesce(~before(F.col("fsc_turn"), earliest("sig0_turn", "last_turn")), F.lit(True))).select(
+        *keys, "last_fires", earliest("sig0_turn", F.when(F.col("last_fires"), F.col("last_turn"))).alias("closed"))
+    fires = (F.when(F.col("kind") == "sig0", True).when(F.col("kind") == "last", F.col("last_fires"))
+             .otherwise(F.coalesce(before(F.col("turn"), F.col("closed")), F.lit(True))))
+    fired = heads.join(turns, keys).filter(fires).select("candidate_key")
+    return sig0.unionByName(fsc).join(fired, "candidate_key", "left_semi").select(*COLUMNS)
+
+
+def trigger_all(new: DataFrame, cat: Catalogue, rules: Rules, newest_first: bool = False) -> DataFrame:
+    """TRG-13: new inputs to the triggers of their type, as if one came after the other."""
+    wds = wds_in_sequence(trg_wds_from_sig0(new, cat, rules), trg_wds_from_fsc(new, cat, rules), new, newest_first)
+    return reduce(DataFrame.unionByName, [trg_sig0_full(new), trg_single(new, cat, rules), wds])
 
 
 def catch_up_inputs(cat: Catalogue, pairs: DataFrame) -> DataFrame:
     """The inputs that lack a validation of some condition their type is paired with."""
-    offered = cat.raw_inputs.select("id", "product_type_code").join(F.broadcast(pairs), "product_type_code")
+    offered = cat.raw_inputs.select("id", "product_type_code").join(pairs, "product_type_code")
     taken = validated_links(cat).select(F.col("triggering_condition_name").alias("condition"),
                                         F.col("raw_input_id").alias("id"))
     open_ids = offered.join(taken, ["id", "condition"], "left_anti").select("id")
@@ -304,11 +331,12 @@ def catch_up_inputs(cat: Catalogue, pairs: DataFrame) -> DataFrame:
 
 
 def backfill(cat: Catalogue, rules: Rules, pairs: DataFrame) -> DataFrame:
-    """TRG-14: the triggers over everything that lacks a validation; ``pairs`` are the ``catch_up_pairs``.
+    """TRG-14: the triggers over everything that lacks a validation; ``pairs`` are the ``catch_up_pairs``. The newest inputs
+    come first, which decides which of several WDS fires.
 
     The inputs to replay are written once, as every trigger reads them.
     """
-    return trigger_all(written(catch_up_inputs(cat, pairs), "catch-up"), cat, rules)
+    return trigger_all(written(catch_up_inputs(cat, pairs), "catch-up"), cat, rules, newest_first=True)
 
 
 def materialise(candidates: DataFrame, cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame]:

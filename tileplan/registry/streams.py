@@ -58,6 +58,12 @@ def _(fx):
     return jobs.run_available(feeds.stream_processed(changes), "processed")
 
 
+def shaped(fx, label, stream, shape):
+    path = shared_dir(fx._spark, label)
+    jobs.run_feed(stream, shape, path, f"{path}-checkpoint").awaitTermination()
+    return fx._spark.read.parquet(path).drop("batch")
+
+
 @query("str03_product_feed", f"SELECT id, {_PRODUCT} AS payload FROM products")
 def _(fx):
     return jobs.run_available(feeds.stream_products(fx.stream("products")), "products")
@@ -74,14 +80,14 @@ def _(fx):
     JOIN triggering_condition c ON c.name = v.triggering_condition_name
     JOIN processing_routine pr ON pr.name = c.processing_routine_name""")
 def _(fx):
-    return jobs.run_available(feeds.stream_tasks(fx.stream("processing_tasks"), fx), "tasks")
+    return shaped(fx, "tasks", fx.stream("processing_tasks"), lambda batch: feeds.stream_tasks(batch, fx))
 
 
 @query("str06_error_feed", f"""SELECT s.id AS status_id, p.id, {_TASK} AS payload FROM processing_status_workflow s
     JOIN processingtask2nomad n ON n.nomad_job_id = s.nomad_job_dispatch_fk_id
     JOIN processing_tasks p ON p.id = n.processing_task_id WHERE s.processing_status_id IN (4, 5)""")
 def _(fx):
-    return jobs.run_available(feeds.stream_errors(fx.stream("processing_status_workflow"), fx), "errors")
+    return shaped(fx, "errors", fx.stream("processing_status_workflow"), lambda batch: feeds.stream_errors(batch, fx))
 
 
 @query("str07_ingest", """SELECT name AS id, product_type_code, tile, measurement_day FROM (
@@ -106,7 +112,7 @@ def _(fx):
     heads, links = (jobs.BatchTable(fx._spark, root, t) for t in ("trigger_validation", "raw2valid"))
     heads.write(fx.trigger_validation, jobs.SEED)
     links.write(fx.raw2valid, jobs.SEED)
-    jobs.run_triggers(fx.stream("raw_inputs"), fx, rules_of(fx), root, f"{root}-checkpoint").awaitTermination()
+    jobs.run_triggers(fx.stream("raw_inputs"), lambda: fx, rules_of(fx), root, f"{root}-checkpoint").awaitTermination()
     made = heads.rows().join(fx.trigger_validation.select("id"), "id", "left_anti").select(
         F.col("id").alias("trigger_validation_id"), F.col("triggering_condition_name").alias("condition"))
     return links.rows().join(made, "trigger_validation_id").select("condition", "raw_input_id")
@@ -143,7 +149,7 @@ def _(fx):
     root = shared_dir(fx._spark, "planner")
     table = jobs.BatchTable(fx._spark, root, "processing_tasks")
     table.write(fx.processing_tasks, jobs.SEED)
-    jobs.run_planner(fx.stream("raw2valid"), fx.trigger_validation, root, f"{root}-checkpoint", AS_OF).awaitTermination()
+    jobs.run_planner(fx.stream("raw2valid"), lambda: fx.trigger_validation, root, f"{root}-checkpoint", AS_OF).awaitTermination()
     return table.rows().select("trigger_validation_fk_id", "processing_date")
 
 
@@ -153,8 +159,9 @@ def _(fx):
         WHERE s.nomad_job_dispatch_fk_id = n.nomad_job_id AND s.exit_code IS NOT NULL))""")
 def _(fx):
     twice = fx.stream("processing_tasks").withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).drop("again")
-    queue = jobs.run_queue(twice, currently_deployed(fx))
-    return jobs.run_available(queue.select("id", "trigger_validation_fk_id", "creation_date"), "queue")
+    path = shared_dir(fx._spark, "queue")
+    jobs.run_queue(twice, lambda: currently_deployed(fx), path, f"{path}-checkpoint").awaitTermination()
+    return fx._spark.read.parquet(path).select("id", "trigger_validation_fk_id", "creation_date")
 
 
 @query("str13_restart", "SELECT id FROM raw_inputs")

@@ -55,7 +55,29 @@ _WDS_LAST = f"""SELECT f.id, f.tile, f.measurement_day, s.id AS sig0, {_ORBIT.fo
     QUALIFY row_number() OVER (PARTITION BY f.id ORDER BY s.harvesting_date DESC, s.id DESC) = 1"""
 WDS_FSC = f"""SELECT {_cand("'WDS_TC'", 'id')} FROM ({_WDS_LAST}) x WHERE valid
     UNION ALL SELECT {_cand("'WDS_TC'", 'id', member='sig0')} FROM ({_WDS_LAST}) y WHERE valid"""
-ALL = " UNION ALL ".join([SIG0_FULL, L2A, SWS, WICS1, WDS_SIG0, WDS_FSC])
+
+
+def _wds(order, offered):
+    """WDS of a batch input by input: a walk over the heads of each tile and day that keeps what has been bound."""
+    return f"""SELECT * FROM (WITH RECURSIVE heads AS (
+        SELECT DISTINCT id, tile, measurement_day, true AS is_sig0, CAST(NULL AS VARCHAR) AS sig0 FROM ({_WDS_PAIRS}) p
+        UNION ALL SELECT id, tile, measurement_day, false, sig0 FROM ({_WDS_LAST}) l WHERE valid),
+    turns AS (SELECT h.*, row_number() OVER (PARTITION BY h.tile, h.measurement_day
+        ORDER BY r.harvesting_date {order}, r.id {order}) AS k FROM heads h JOIN raw_inputs r ON r.id = h.id WHERE {offered}),
+    walk AS (SELECT DISTINCT tile, measurement_day, CAST(0 AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS id, false AS fires,
+            false AS all_fsc, CAST([] AS VARCHAR[]) AS bound FROM turns
+        UNION ALL SELECT tile, measurement_day, k, id, fires, all_fsc OR (fires AND is_sig0),
+            CASE WHEN fires AND NOT is_sig0 THEN list_append(bound, sig0) ELSE bound END FROM (
+            SELECT t.*, w.all_fsc, w.bound, CASE WHEN t.is_sig0 THEN NOT list_contains(w.bound, t.id) ELSE NOT w.all_fsc END AS fires
+            FROM walk w JOIN turns t ON t.tile = w.tile AND t.measurement_day = w.measurement_day AND t.k = w.k + 1) s)
+    SELECT c.* FROM ({WDS_SIG0} UNION ALL {WDS_FSC}) c WHERE c.first_id IN (SELECT id FROM walk WHERE fires)) wds"""
+
+
+def _all(order="ASC", offered="true"):
+    return " UNION ALL ".join([SIG0_FULL, L2A, SWS, WICS1, _wds(order, offered)])
+
+
+ALL = _all()
 
 
 @query("trg01_sig0_full", SIG0_FULL)
@@ -247,10 +269,13 @@ _PAIRS = """(VALUES ('Backscatter_10m_TC', 'IW_GRDH_1S'), ('CC_TC', 'S2MSI1C'),
     AS q(condition, kind)"""
 
 
-@query("trg14_backfill", f"""SELECT c.* FROM ({ALL}) c WHERE split_part(candidate_key, '|', 2) IN (SELECT r.id
-    FROM raw_inputs r JOIN {_PAIRS} ON q.kind = r.product_type_code WHERE NOT EXISTS (SELECT 1 FROM raw2valid m
-    JOIN trigger_validation v ON v.id = m.trigger_validation_id WHERE m.raw_input_id = r.id
-    AND v.triggering_condition_name = q.condition))""")
+_OFFERED = f"""(SELECT r.id FROM raw_inputs r JOIN {_PAIRS} ON q.kind = r.product_type_code WHERE NOT EXISTS (
+    SELECT 1 FROM raw2valid m JOIN trigger_validation v ON v.id = m.trigger_validation_id WHERE m.raw_input_id = r.id
+    AND v.triggering_condition_name = q.condition))"""
+
+
+@query("trg14_backfill", f"""SELECT c.* FROM ({_all('DESC', f'h.id IN {_OFFERED}')}) c
+    WHERE split_part(candidate_key, '|', 2) IN {_OFFERED}""")
 def _(fx):
     return trg.backfill(fx, rules_of(fx), code_table(fx._spark, "catch_up_pairs"))
 

@@ -17,8 +17,10 @@ from tileplan.schemas import NOT_NULL, REFERENCES, UNIQUE
 def insert_ignore(target: DataFrame, new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """SNK-01: the new rows whose key the target does not have; among equal keys the first in order is kept.
 
-    The first row is a ``min`` over a struct, combined before the shuffle, so many copies of a key cost little.
+    The first row is a ``min`` over a struct, combined before the shuffle, so many copies of a key cost little. Rows
+    without a key cannot be told apart and are left to ``keyless``.
     """
+    new = new.filter(F.col(key).isNotNull())
     order = [c for c in (order or ["publishing_date", "input_path"]) if c in new.columns]
     rest = [c for c in new.columns if c != key and c not in order]
     first = (new.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("row"))
@@ -26,21 +28,26 @@ def insert_ignore(target: DataFrame, new: DataFrame, key: str, order: list[str]
     return first.join(target.select(key), key, "left_anti").select(*new.columns)
 
 
-def bucket_of(key: Column) -> Column:
-    """A bucket of 4096 for numbering: the first three hexadecimal digits of the key's MD5."""
-    return F.substring(F.md5(key), 1, 3)
+def keyless(new: DataFrame, key: str) -> DataFrame:
+    """SNK-01: the new rows without a key, which ``insert_ignore`` leaves out."""
+    return new.filter(F.col(key).isNull())
 
 
-def numbered(rows: DataFrame, key: str, last_id: DataFrame, id_name: str = "id") -> DataFrame:
+def bucket_of(key: Column, digits: int = 3) -> Column:
+    """A bucket for numbering: the first hexadecimal digits of the key's MD5."""
+    return F.substring(F.md5(key), 1, digits)
+
+
+def numbered(rows: DataFrame, key: str, last_id: DataFrame, id_name: str = "id", digits: int = 3) -> DataFrame:
     """Rows with dense new ids above the largest existing one, without a sort of all rows in one task.
 
-    A unique key falls in one of 4096 buckets. The rows of a bucket are numbered among themselves and moved by
-    the size of the buckets before; those sizes are at most 4096 rows, which is what is broadcast. The same
-    rows get the same ids in whatever task they are numbered.
+    A unique key falls in one of 16 ** digits buckets. The rows of a bucket are numbered among themselves and moved
+    by the size of the buckets before; those sizes, one row per bucket, are what is broadcast. The same rows get the
+    same ids in whatever task they are numbered; other digits give other ids, so keep them for a table.
     """
     from pyspark.sql import Window as W
 
-    rows = rows.withColumn("bucket", bucket_of(F.col(key)))
+    rows = rows.withColumn("bucket", bucket_of(F.col(key), digits))
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"))
     before = F.sum("size").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))
     start = sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("start"))

@@ -58,13 +58,16 @@ def stream_members(links: DataFrame) -> DataFrame:
 
 
 def stream_tasks(tasks: DataFrame, cat: Catalogue) -> DataFrame:
-    """STR-05: new tasks with the flavour of their routine, as JSON; a stream joined with the stored validations."""
+    """STR-05: new tasks with the flavour of their routine, as JSON.
+
+    In a long run give this to ``run_feed`` with a newly opened catalogue, else later validations are unknown to it.
+    """
     row = F.struct(*tasks.columns)
     return task_with_flavour(tasks, cat).select(
         "id", "flavour", F.to_json(F.struct(row.alias("processing_task"), "flavour"), _JSON).alias("payload"))
 
 
 def stream_errors(statuses: DataFrame, cat: Catalogue) -> DataFrame:
-    """STR-06: the task of every new error status, as JSON, to be launched again."""
+    """STR-06: the task of every new error status, as JSON, to be launched again; in a long run as STR-05."""
     found = task_of_error(statuses, cat)
     return found.select("status_id", "id", as_payload(*cat.processing_tasks.columns).alias("payload"))

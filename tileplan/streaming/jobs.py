@@ -78,13 +78,18 @@ def run_ingest(products: DataFrame, root: str, checkpoint: str, as_of, every: st
     return start(products, work, checkpoint, every)
 
 
-def run_triggers(inputs: DataFrame, cat: Catalogue, rules: Rules, root: str, checkpoint: str, every: str | None = None):
-    """STR-08: new inputs to validations and links below ``root``; ``cat`` holds the other tables."""
+def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: Rules, root: str, checkpoint: str,
+                 every: str | None = None):
+    """STR-08: new inputs to validations and links below ``root``.
+
+    ``catalogue`` opens the other tables anew for every micro-batch (``lambda: load_catalogue(spark, root)``), because
+    a scan keeps the list of files it was opened with.
+    """
     spark = inputs.sparkSession
 
     def work(batch: DataFrame, n: int) -> None:
         validations, links = BatchTable(spark, root, "trigger_validation"), BatchTable(spark, root, "raw2valid")
-        now = cat.replace(trigger_validation=validations.rows(n), raw2valid=links.rows(n))
+        now = catalogue().replace(trigger_validation=validations.rows(n), raw2valid=links.rows(n))
         heads, members = materialise(trigger_all(batch.dropDuplicates(["id"]), now, rules), now, rules)
         validations.write(heads, n)
         links.write(members, n)
@@ -92,26 +97,47 @@ def run_triggers(inputs: DataFrame, cat: Catalogue, rules: Rules, root: str, che
     return start(inputs, work, checkpoint, every)
 
 
-def run_planner(members: DataFrame, tv: DataFrame, root: str, checkpoint: str, as_of, every: str | None = None):
-    """STR-11: new links to tasks below ``root``, one per validation."""
+def run_planner(members: DataFrame, validations: Callable[[], DataFrame], root: str, checkpoint: str, as_of,
+                every: str | None = None):
+    """STR-11: new links to tasks below ``root``, one per validation; ``validations`` opens them for every batch."""
     spark = members.sparkSession
 
     def work(batch: DataFrame, n: int) -> None:
         table = BatchTable(spark, root, "processing_tasks")
         known = table.rows(n)
-        table.write(append_tasks(known, plan_tasks(batch, tv, known, as_of)[0]), n)
+        table.write(append_tasks(known, plan_tasks(batch, validations(), known, as_of)[0]), n)
 
     return start(members, work, checkpoint, every)
 
 
-def run_queue(tasks: DataFrame, deployed: DataFrame, delay: str = "1 day") -> DataFrame:
-    """STR-12: the launch queue as a stream: tasks not deployed, each id once within the delay.
+def run_feed(stream: DataFrame, shape: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+             every: str | None = None):
+    """STR-05, 06, 12: the rows that ``shape`` makes of each micro-batch, below ``path``.
+
+    ``shape`` opens the tables it joins with itself, so it sees the rows that came since the start.
+    """
+    return start(stream, partial(_shaped, shape, path), checkpoint, every)
+
+
+def _shaped(shape: Callable[[DataFrame], DataFrame], path: str, batch: DataFrame, n: int) -> None:
+    shape(batch).write.mode("overwrite").parquet(f"{path}/batch={n}")
+
+
+def arrivals(tasks: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """STR-12: the tasks of a stream, each id once within the delay of its arrival.
 
-    Tasks arrive repeatedly, from the feed and from the recovery passes; the state of an id is dropped after the delay.
+    Tasks come from the feed and, as long as they are lost or failed, from the recovery passes. Time is that of the
+    arrival and not of the task, so no task is too old, and one that is lost later comes in again.
     """
-    seen = tasks.withColumn("event_time", F.col("creation_date").cast("timestamp")).withWatermark("event_time", delay)
-    return (seen.dropDuplicatesWithinWatermark(["id"]).join(deployed.select("id"), "id", "left_anti")
-            .drop("event_time"))
+    return (tasks.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", delay)
+            .dropDuplicatesWithinWatermark(["id"]).drop("arrived_at"))
+
+
+def run_queue(tasks: DataFrame, deployed: Callable[[], DataFrame], path: str, checkpoint: str, delay: str = "10 minutes",
+              every: str | None = None):
+    """STR-12: the launch queue below ``path``: arriving tasks that are not deployed at that moment."""
+    shape = lambda batch: batch.join(deployed().select("id"), "id", "left_anti").select(*tasks.columns)
+    return run_feed(arrivals(tasks, delay), shape, path, checkpoint, every)
 
 
 def run_periodic(source: DataFrame, work: Callable[[], None], checkpoint: str, every: str | None = None):
