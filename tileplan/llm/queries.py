@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tileplan.llm import jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, repeats, rules, tokenfiles
+from tileplan.llm import (jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, repeats, rules, spelling, sql,
+                          tokenfiles)
 from tileplan.llm.tables import mounted, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +65,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
-                                   op9_token_files, op10_pii)}
-ORACLE: dict[str, str] = {}
+                                   op9_token_files, op10_pii, op11_spelling)}
+ORACLE: dict[str, str] = dict(sql.ORACLE)
