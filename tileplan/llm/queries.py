@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tileplan.llm import (jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, repeats, rules, spelling, sql,
-                          tokenfiles)
+                          tokenfiles, tries)
 from tileplan.llm.tables import mounted, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(tries.rebuilt(tries.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {f.__name__: f for f in (op1_repeats, op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
-                                   op9_token_files, op10_pii, op11_spelling)}
+                                   op9_token_files, op10_pii, op11_spelling, op12_prefix_trie)}
 ORACLE: dict[str, str] = dict(sql.ORACLE)

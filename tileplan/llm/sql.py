@@ -46,4 +46,41 @@ WITH RECURSIVE {CRC_TABLE}, runs AS (
 SELECT f.word, f.form, l.root, f.n, f.n_near, f.form_n FROM forms f JOIN led l ON l.word = f.word
 """
 
-ORACLE = {"op11_spelling": OP11}
+OP12 = rf"""
+WITH {CRC_TABLE}, turns AS (
+    SELECT conv_id, md5(octet_length(encode(role))::VARCHAR || ':' || role || text) AS digest,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(octet_length(encode(role))::VARCHAR || ':' || role || text)) AS k
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL) c
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS donor, {crc32('conv_id::VARCHAR')} % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns) d, crc_table
+), placed AS (
+    SELECT c.conv_id, 0 AS own, t.k, t.digest, t.words FROM convs c JOIN turns t ON t.conv_id = c.donor AND t.k <= c.h
+    UNION ALL SELECT c.conv_id, 1, t.k, t.digest, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.k > c.h
+), whole AS (
+    SELECT c.conv_id, coalesce(s.seq, []) AS seq, coalesce(s.words, []) AS words FROM convs c LEFT JOIN (
+        SELECT conv_id, list(digest ORDER BY own, k) AS seq, list(words ORDER BY own, k) AS words FROM placed GROUP BY conv_id) s
+    ON s.conv_id = c.conv_id
+), prefixes AS (
+    SELECT conv_id, d, seq[1:d] AS path, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(seq) AS ends
+    FROM (SELECT conv_id, seq, words, unnest(range(0, len(seq) + 1)) AS d FROM whole) w
+), nodes AS (
+    SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY path, d
+), families AS (
+    SELECT n.path, n.depth, n.words, n.n_convs, n.conv_id, n.ends_sha256, p.conv_id AS parent_conv_id,
+        (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.path[1:n.depth] = n.path) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]
+), above AS (
+    SELECT path[1:up] AS path, n_children, n_convs, words
+    FROM (SELECT path, n_children, n_convs, words, unnest(range(0, depth + 1)) AS up FROM families) f
+), sums AS (
+    SELECT path, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens FROM above GROUP BY path
+)
+SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens, f.ends_sha256
+FROM families f JOIN sums s ON s.path = f.path
+"""
+
+ORACLE = {"op11_spelling": OP11, "op12_prefix_trie": OP12}
