@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tileplan.llm import (jaccard, langid, mixing, neighbours, packing, pages, pseudonyms, repeats, rules, spelling, sql,
-                          tokenfiles, tries)
+from tileplan.llm import (jaccard, langid, mixing, neighbours, packing, pages, passages, pseudonyms, repeats, rules,
+                          spelling, sql, tokenfiles, tries)
 from tileplan.llm.tables import mounted, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +73,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.trie(tries.rebuilt(tries.sequences(table(spark, sf_dir, "conversations"))))
 
 
-QUERIES = {f.__name__: f for f in (op1_repeats, op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing,
-                                   op9_token_files, op10_pii, op11_spelling, op12_prefix_trie)}
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.without_passages(table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_repeats, op2_jaccard, op3_html, op4_quality_rules, op5_language, op6_mixing, op7_neighbours, op8_packing, op9_token_files,
+    op10_pii, op11_spelling, op12_prefix_trie, op13_passages)}
 ORACLE: dict[str, str] = dict(sql.ORACLE)

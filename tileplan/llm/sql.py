@@ -83,4 +83,23 @@ SELECT f.conv_id, f.depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves
 FROM families f JOIN sums s ON s.path = f.path
 """
 
-ORACLE = {"op11_spelling": OP11, "op12_prefix_trie": OP12}
+OP13 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT r, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM (
+        SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM docs WHERE len(words) >= 35) w
+), often AS (
+    SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT r, i + k AS i FROM windows JOIN often USING (h), (SELECT unnest(range(35)) AS k) ks
+), marked AS (
+    SELECT r, list(i) AS gone FROM gone GROUP BY r
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(len(m.gone), 0)::BIGINT AS n_removed, sha256(array_to_string(
+    CASE WHEN m.gone IS NULL THEN d.words ELSE list_transform(list_filter(list_zip(d.words, range(1, len(d.words) + 1)),
+        lambda x: NOT list_contains(m.gone, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
+FROM docs d LEFT JOIN marked m ON m.r = d.r
+"""
+
+ORACLE = {"op11_spelling": OP11, "op12_prefix_trie": OP12, "op13_passages": OP13}
