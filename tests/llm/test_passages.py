@@ -44,7 +44,7 @@ def rows_of(seed):
 
 
 @pytest.mark.parametrize("settings", [
-    passages.Settings(), passages.Settings(shard=1), passages.Settings(crowded=0), passages.Settings(most=7, crowded=900),
+    passages.Settings(), passages.Settings(shard=1), passages.Settings(crowded=100), passages.Settings(most=7, crowded=900),
     passages.Settings(length=8, core=3, most=16), passages.Settings(length=5, core=5)], ids=str)
 def test_against_all_windows(spark, settings):
     rows = rows_of(settings.length)

@@ -5,7 +5,7 @@ windows meet and no text goes to shards that cannot match it. Neighbouring windo
 found in one place only end there; a piece whose whole content occurs twice is repeated whole. The distinct contents of
 the other keys are the reference: a task builds the suffix automaton of a bounded shard of them, with occurrences,
 and streams each content through it; its matching statistics give the windows that occur twice. A key whose contents
-hold more than ``crowded`` words has its windows counted one by one instead, before the shuffle.
+hold more than ``crowded`` words is dealt over several shards, which then compare their windows, each named once a shard.
 
 Words are 64-bit hashes; windows and contents are told apart by two 64-bit hashes, texts by MD5. A task holds the words
 of one text (some 60 bytes a byte of text) or of one shard.
@@ -34,7 +34,7 @@ class Settings:
     core: int = 8
     most: int = 512  # windows of a piece
     shard: int = 1 << 14  # words of one automaton, or one key where it has more
-    crowded: int = 1 << 16  # words of the distinct contents of a key from which its windows are counted one by one
+    crowded: int = 1 << 16  # words of the distinct contents of a key that go to one shard, about
 
 
 class Runs:
@@ -128,52 +128,71 @@ def contents_of(asked: DataFrame, settings: Settings) -> DataFrame:
     return asked.mapInArrow(run, "key LONG, content LONG, weight LONG, size LONG, words BINARY")
 
 
+HELD = ("key", "shard", "content", "weight", "words")
+
+
 def streamed(contents: DataFrame, settings: Settings) -> DataFrame:
-    """(key, content, spans): window starts that occur again; ``contents`` come with the contents of a key together."""
+    """(key, content, spans): window starts that occur again in a shard; ``contents`` come with those of a (key, shard)
+    together, and small ones share an automaton."""
     schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("spans", SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, int, list[int]]] = []
+        held: list[tuple] = []
         size = 0
 
         def found() -> pa.RecordBatch:
-            shard = SuffixAutomaton()
-            for _, _, weight, words in held:
-                shard.add(words, weight)
-            shard.finish()
-            rows = [(key, content, as_spans(shard.repeated(words, settings.length)))
-                    for key, content, weight, words in held if weight == 1]  # others are repeated whole
+            automaton = SuffixAutomaton()
+            for *_, weight, words in held:
+                automaton.add(words, weight)
+            automaton.finish()
+            rows = [(key, content, as_spans(automaton.repeated(words, settings.length)))
+                    for key, _, content, weight, words in held if weight == 1]  # others are repeated whole
             return batch_of(schema, *([list(c) for c in zip(*rows)] or [[]] * 3))
 
         for batch in batches:
-            for key, content, weight, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "weight", "words")),
-                                                 strict=True):
-                if size > settings.shard and key != held[-1][0]:
+            for row in zip(*(batch.column(c).to_pylist() for c in HELD), strict=True):
+                if size > settings.shard and row[:2] != held[-1][:2]:
                     yield found()
                     held.clear()
                     size = 0
-                held.append((key, content, weight, np.frombuffer(raw, np.uint64).tolist()))
-                size += len(held[-1][3])
+                held.append((*row[:-1], np.frombuffer(row[-1], np.uint64).tolist()))
+                size += len(held[-1][-1])
         if held:
             yield found()
 
     return contents.mapInArrow(run, f"key LONG, content LONG, spans {SPAN}").where(F.size("spans") > 0)
 
 
-def counted(contents: DataFrame, settings: Settings) -> DataFrame:
-    """The same for crowded keys: every window by itself, counted before the shuffle."""
-    schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("weight", pa.int64()), ("at", pa.int64()), ("window", pa.int64())])
+def across(contents: DataFrame, settings: Settings) -> DataFrame:
+    """(key, content, spans): window starts of the contents of crowded keys that occur in two shards or more. Each shard
+    names each of its windows once, with the place of one that it has once."""
+    schema = pa.schema([("key", pa.int64()), ("window", pa.int64()), ("weight", pa.int64()), ("content", pa.int64()), ("at", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def named() -> pa.RecordBatch:
+            words = [np.frombuffer(row[-1], np.uint64) for row in held]
+            many = np.array([len(w) - settings.length + 1 for w in words], np.int64)
+            window = np.concatenate([Runs(w).of(np.arange(n), settings.length) for w, n in zip(words, many)])
+            row_of = np.repeat(np.arange(len(held)), many)
+            at = np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many)
+            distinct, first, which = np.unique(window, return_index=True, return_inverse=True)
+            weight = np.bincount(which, np.array([row[3] for row in held], float)[row_of]).astype(np.int64)
+            content = np.array([row[2] for row in held], np.int64)[row_of[first]]
+            return batch_of(schema, np.full(len(distinct), held[0][0], np.int64), distinct.astype(np.int64),
+                            np.minimum(weight, 2), content, at[first])
+
         for batch in batches:
-            for key, content, weight, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "weight", "words")),
-                                                 strict=True):
-                words = np.frombuffer(raw, np.uint64)
-                at = np.arange(len(words) - settings.length + 1)
-                window = Runs(words).of(at, settings.length)
-                yield batch_of(schema, [key] * len(at), [content] * len(at), [weight] * len(at), at, window.astype(np.int64))
-
-    windows = contents.mapInArrow(run, "key LONG, content LONG, weight LONG, at LONG, window LONG")
+            for row in zip(*(batch.column(c).to_pylist() for c in HELD), strict=True):
+                if held and row[:2] != held[-1][:2]:
+                    yield named()
+                    held.clear()
+                held.append(row)
+        if held:
+            yield named()
+
+    windows = written(contents.mapInArrow(run, "key LONG, window LONG, weight LONG, content LONG, at LONG"), "windows")
     often = windows.groupBy("key", "window").agg(F.sum("weight").alias("many")).where("many > 1").select("key", "window")
     own = windows.where("weight = 1").join(often, ["key", "window"], "left_semi")
     span = F.struct(F.col("at").alias("begin"), (F.col("at") + 1).alias("end"))
@@ -227,11 +246,13 @@ def without_passages(docs: DataFrame, settings: Settings = Settings(), text: str
     asked = contents.join(groups, "key").groupBy("id").agg(F.collect_list(F.struct(
         "key", "content", "weight", "size", "start", "n")).alias("asked"))  # pieces of one text
     reference = written(contents_of(one_text(named, asked), settings), "reference")
-    small = reference.where(F.col("size") <= settings.crowded).repartition("key").sortWithinPartitions("key")
+    shards = F.greatest(F.ceil(F.col("size") / max(settings.crowded, 1)), F.lit(1))
+    dealt = reference.withColumn("shard", F.pmod(F.xxhash64("content"), shards).cast("long"))
+    crowded = dealt.where(F.col("size") > settings.crowded)
     whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n").alias("end")))
     spans = (contents.where("weight > 1").select("key", "content", whole.alias("spans"))
-             .union(streamed(small, settings))
-             .union(counted(reference.where(F.col("size") > settings.crowded), settings)))
+             .union(streamed(together(dealt), settings))
+             .union(across(together(crowded), settings)))
     found = candidates.select("key", "content", "id", "start").join(spans, ["key", "content"]).groupBy("id").agg(F.flatten(
         F.collect_list(F.expr("transform(spans, s -> struct(s.begin + start AS begin, s.end + start AS end))"))).alias("own"))
     changed = written(removed(one_text(named, found), settings), "changed")
@@ -244,6 +265,11 @@ def without_passages(docs: DataFrame, settings: Settings = Settings(), text: str
         F.when(repeated, everything).otherwise(F.coalesce("spans", F.slice(everything, 1, 0))).alias("spans"))
 
 
+def together(dealt: DataFrame) -> DataFrame:
+    """The contents of a (key, shard) next to each other in one task."""
+    return dealt.repartition("key", "shard").sortWithinPartitions("key", "shard")
+
+
 def one_text(named: DataFrame, of: DataFrame) -> DataFrame:
     """The rows of ``of`` (id, ...), one an id, with the text."""
     return named.select("id", "text").join(of, "id").dropDuplicates(["id"])
