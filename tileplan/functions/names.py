@@ -119,6 +119,14 @@ def product_rejects(products: DataFrame) -> DataFrame:
     return _with_fields(products).filter(~_parsed()).select("id", "product_type_code")
 
 
+def refused_products(products: DataFrame) -> DataFrame:
+    """PRJ-01, SNK-01: the product rows that cannot be stored as inputs, with a reason: ``no id``, which is also the name,
+    or ``name``, whose type is unknown or which lacks a field."""
+    reason = F.when(F.col("id").isNull(), "no id").when(~_parsed(), "name")
+    kept = [c for c in products.columns if c != "is_partial"]
+    return _with_fields(products).withColumn("reason", reason).where("reason IS NOT NULL").select(*kept, "reason")
+
+
 def _with_fields(products: DataFrame) -> DataFrame:
     """Products with the parsed fields. They pass through a one-element array, so that a filter on them is not
     pushed below and the names are parsed once per row."""

@@ -7,7 +7,7 @@ from tileplan.operators.tasks import undispatched
 from tileplan.registry import query
 from tileplan.schemas import as_entity
 from tileplan.session import moment, shared_dir
-from tileplan.sources import catalogue, files, sinks
+from tileplan.sources import catalogue, files, sinks, tablelog
 
 
 @query("src01_load_catalogue", "SELECT * FROM raw_inputs")
@@ -142,3 +142,18 @@ def _(fx):
 @query("prj22_as_entity", "SELECT * EXCLUDE (acquisition_date, state) FROM sentinel_tile")
 def _(fx):
     return as_entity(fx.sentinel_tile, "raw_inputs")
+
+
+@query("snk06_stored_parameters", """SELECT r.product_type_code, count(*) AS n_inputs, max(CASE WHEN r.product_type_code = 'S1_NRB_L2A'
+    THEN 77 END) AS stored_days FROM raw_inputs r JOIN sources s ON s.input_type = r.product_type_code GROUP BY 1""")
+def _(fx):
+    """A parameter that is set, stored and read again by the next catalogue, over the inputs of its sources."""
+    root = shared_dir(fx._spark, "parameters")
+    catalogue.write_table(fx.raw_inputs, root, "raw_inputs")
+    constant = catalogue.load_catalogue(fx._spark, root).sources
+    days = "max_day_since_publication_date"
+    changed = constant.withColumn(days, F.when(F.col("input_type") == "S1_NRB_L2A", 77))
+    tablelog.store_parameters(fx._spark, root, tablelog.parameter_version(fx._spark, root), sources=changed)
+    cat = catalogue.load_catalogue(fx._spark, root)
+    return (cat.raw_inputs.join(cat.sources.select(F.col("input_type").alias("product_type_code"), days), "product_type_code")
+            .groupBy("product_type_code").agg(F.count("*").alias("n_inputs"), F.max(days).alias("stored_days")))

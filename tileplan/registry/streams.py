@@ -2,12 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from tileplan.fixtures import AS_OF
+from tileplan.fixtures import AS_OF, CUTOVER, GFSC_LAST_DAY
 from tileplan.operators.tasks import currently_deployed
 from tileplan.plans import triggers as trg
 from tileplan.registry import query
-from tileplan.registry.triggers import ALL, _WIC, _cand, rules_of
+from tileplan.registry.tasks import _AGES, _RUNS
+from tileplan.registry.triggers import ALL, _CC_SQL, _GFSC, _WIC, _cand, _orphans_sql, _pairs_sql, rules_of
+from tileplan.schemas import SCHEMAS
 from tileplan.session import shared_dir
+from tileplan.sources.reference import code_table
+from tileplan.sources.sinks import set_last_day
 from tileplan.streaming import feeds, jobs, pairing
 
 _TS = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
@@ -105,6 +109,18 @@ def _(fx):
     return table.rows().select("id", "product_type_code", "tile", "measurement_day")
 
 
+@query("str07_rejects", """SELECT CASE WHEN id % 2 = 0 THEN 'no id' ELSE 'name' END AS reason, product_path FROM products
+    WHERE id IS NOT NULL AND product_type_code IN ('GFSC_L2C', 'S1_NRB_L2A', 'S1_SWS_L2B', 'S1_WDS_L2B', 'S1_WICS1_L2B', 'S2_CC_L2B',
+        'S2_FSC_L2B', 'S2_MAJA_L2A', 'S2_WICS2_L2B', 'COMB_WICS1S2')""".replace("id % 2", "CAST(right(id, 1) AS INT) % 2"))
+def _(fx):
+    """Products without an id or with a name of no layout are kept with the reason."""
+    root = shared_dir(fx._spark, "rejects")
+    even = F.right("id", F.lit(1)).cast("int") % 2 == 0
+    broken = fx.stream("products").withColumn("id", F.when(~even, F.concat(F.lit("X"), "id")))
+    jobs.run_ingest(broken, root, f"{root}-checkpoint", AS_OF).awaitTermination()
+    return jobs.BatchTable(fx._spark, root, "rejects").rows().select("reason", "product_path")
+
+
 @query("str08_triggers", f"SELECT condition, raw_input_id FROM ({ALL}) c")
 def _(fx):
     """Validations and links below a folder, seeded with the stored ones; the result are the new links."""
@@ -164,6 +180,33 @@ def _(fx):
     return fx._spark.read.parquet(path).select("id", "trigger_validation_fk_id", "creation_date")
 
 
+_DEPLOYED = """SELECT q.id FROM processing_tasks q JOIN processingtask2nomad n ON n.processing_task_id = q.id
+    WHERE NOT q.has_ended AND NOT EXISTS (SELECT 1 FROM processing_status_workflow s
+        WHERE s.nomad_job_dispatch_fk_id = n.nomad_job_id AND s.exit_code IS NOT NULL)"""
+
+
+@query("str12_relaunch", f"""SELECT id, 1 + CAST(id IN (SELECT processing_task_id FROM processingtask2nomad) AS BIGINT) AS n_queued
+    FROM processing_tasks WHERE id NOT IN ({_DEPLOYED})""")
+def _(fx):
+    """All tasks arrive, those with a dispatch are launched, and all come again at once: what still waits stays as it is."""
+    spark, root = fx._spark, shared_dir(fx._spark, "relaunch")
+    arrive = lambda: fx.processing_tasks.write.mode("append").parquet(f"{root}/tasks")
+    launches = fx.processingtask2nomad.select(F.col("processing_task_id").alias("id")).distinct()
+
+    def run():
+        tasks = spark.readStream.schema(SCHEMAS["processing_tasks"]).parquet(f"{root}/tasks")
+        gone = spark.readStream.schema(launches.schema).parquet(f"{root}/launches")
+        jobs.run_queue(tasks, lambda: currently_deployed(fx), f"{root}/queue", f"{root}/checkpoint", gone).awaitTermination()
+
+    launches.limit(0).write.parquet(f"{root}/launches")
+    arrive()
+    run()
+    launches.write.mode("append").parquet(f"{root}/launches")
+    arrive()
+    run()
+    return spark.read.schema(SCHEMAS["processing_tasks"]).parquet(f"{root}/queue").groupBy("id").agg(F.count("*").alias("n_queued"))
+
+
 @query("str13_restart", "SELECT id FROM raw_inputs")
 def _(fx):
     """The second run on the same checkpoint adds no row."""
@@ -183,3 +226,50 @@ def _(fx):
 
     jobs.run_periodic(fx.stream("raw_inputs"), gap_pass, f"{path}-checkpoint").awaitTermination()
     return fx._spark.read.parquet(path)
+
+
+def _tick(fx, root):
+    """One tick of the clock, and no other row ever."""
+    fx._spark.sql(f"SELECT TIMESTAMP '{AS_OF}' AS timestamp").write.parquet(f"{root}/ticks")
+    return fx._spark.readStream.schema("timestamp TIMESTAMP").parquet(f"{root}/ticks")
+
+
+_GRD = "TIMESTAMP '2024-01-24 00:00:00'"
+_PASSES = f"""SELECT condition, raw_input_id FROM (
+        {_pairs_sql(_GRD)} SELECT 'Backscatter_10m_TC' AS condition, g.id AS raw_input_id FROM grd g JOIN hit h
+        ON h.tile = g.tile AND h.measurement_day = g.measurement_day AND h.o = g.o) a
+    UNION ALL SELECT 'Backscatter_10m_TC', id FROM ({_orphans_sql('2024-01-24 00:00:00', AS_OF)}) b
+    UNION ALL SELECT 'CC_TC', id FROM ({_CC_SQL} SELECT id FROM pick WHERE NOT earlier OR l2a IS NOT NULL
+        UNION ALL SELECT l2a FROM pick WHERE earlier AND l2a IS NOT NULL) c
+    UNION ALL SELECT condition, raw_input_id FROM ({_GFSC}) d
+    UNION ALL SELECT DISTINCT 'WICS1S2_TC', id FROM ({_WIC}) e UNION ALL SELECT 'WICS1S2_TC', partner FROM ({_WIC}) f"""
+
+
+@query("str14_passes", _PASSES)
+def _(fx):
+    """The four passes of the triggerer over the whole tables, fired by the clock without any new input."""
+    root = shared_dir(fx._spark, "passes")
+    for name in ("trigger_validation", "raw2valid"):
+        jobs.BatchTable(fx._spark, root, name).write(getattr(fx, name), jobs.SEED)
+    cat = fx.replace(triggerer_config=set_last_day(code_table(fx._spark, "triggerer_config"), "GFSC_L2C", GFSC_LAST_DAY))
+    rules = rules_of(fx, publication_days={**trg._limits(1), "CC_TC": 30})
+    jobs.run_triggers(fx.stream("raw_inputs").where("false"), lambda: cat, rules, root, f"{root}-checkpoint",
+                      ticks=_tick(fx, root)).awaitTermination()
+    heads, links = (jobs.BatchTable(fx._spark, root, t).rows() for t in ("trigger_validation", "raw2valid"))
+    made = heads.join(fx.trigger_validation.select("id"), "id", "left_anti").select(
+        F.col("id").alias("trigger_validation_id"), F.col("triggering_condition_name").alias("condition"))
+    return links.join(made, "trigger_validation_id").select("condition", "raw_input_id")
+
+
+@query("str14_recovery", f"""SELECT DISTINCT t.nomad_job_id AS nomad_job_dispatch_fk_id, 4 AS processing_status_id, 404 AS exit_code
+    FROM ({_RUNS}) t JOIN {_AGES} a ON a.nomad_job_id = t.nomad_job_id WHERE NOT EXISTS (SELECT 1 FROM processing_status_workflow s
+        WHERE s.nomad_job_dispatch_fk_id = t.nomad_job_id AND s.exit_code IS NOT NULL)
+    AND (a.age IS NULL OR a.age = 0 OR a.age > 180 * CASE WHEN t.duration < 7 THEN 7 ELSE t.duration END)""")
+def _(fx):
+    """The fifth pass: the lost dispatches of all flavours, fired by the clock."""
+    root = shared_dir(fx._spark, "recovery")
+    flavours = [r.flavour for r in fx.processing_routine.select("flavour").distinct().collect()]  # code table
+    jobs.run_recovery(_tick(fx, root), lambda: fx, lambda: fx.sql(f"SELECT * FROM {_AGES} a"), flavours, root,
+                      f"{root}-checkpoint", day=CUTOVER).awaitTermination()
+    return jobs.BatchTable(fx._spark, root, "processing_status_workflow").rows().select(
+        "nomad_job_dispatch_fk_id", "processing_status_id", "exit_code")

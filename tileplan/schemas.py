@@ -56,6 +56,9 @@ _DDL = {
 
 SCHEMAS = {name: struct(ddl) for name, ddl in _DDL.items()}
 
+#: Column by whose values the rows of a table lie in folders.
+PARTITIONING = {"raw_inputs": "measurement_day"}
+
 # UDF-02: result row types of the status and dispatch reports.
 DISPATCH_INFO = struct(
     "nomad_job_id STRING, nomad_job_dispatch STRING, nomad_job_dispatch_creation_date TIMESTAMP_NTZ, "

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tileplan.catalogue import Catalogue
-from tileplan.schemas import SCHEMAS
+from tileplan.schemas import PARTITIONING, SCHEMAS
 from tileplan.sources.reference import reference_tables
+from tileplan.sources.tablelog import logged
 
 CORE_TABLES = ["raw_inputs", "trigger_validation", "raw2valid", "processing_tasks", "nomad_job_dispatch",
                "processingtask2nomad", "processing_status_workflow", "products", "indexation_json",
                "indexation_workflow", "tile_geometry", "tile_track", "tile_list"]
-PARTITIONING = {"raw_inputs": "measurement_day"}
 
 
 def scan(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -26,10 +26,15 @@ def jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame
 
 
 def load_catalogue(spark: SparkSession, root: str) -> Catalogue:
-    """SRC-01: all core tables below ``root``, with the code tables."""
+    """SRC-01, SRC-03: all core tables below ``root``, with the code tables.
+
+    A table that a job or ``store_parameters`` has published is read as its log says, stored parameters in place of the
+    constant ones; others are the files in their folder.
+    """
     codes = reference_tables(spark)
     tables = {name: (lambda n=name: getattr(codes, n)) for name in codes.names()}
     tables.update({name: (lambda n=name: scan(spark, root, n)) for name in CORE_TABLES})
+    tables.update({name: (lambda n=name, log=log: log.rows(n)) for name, log in logged(spark, root).items() if name in tables})
     return Catalogue(tables)
 
 
