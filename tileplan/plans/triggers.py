@@ -139,41 +139,43 @@ def trg_sig0_orphans(ri: DataFrame, r2v: DataFrame, as_of, previous: DataFrame |
 # The input type whose arrival may fire each condition on its own, and those that test the orbit.
 SINGLE_INPUT = {"FSC_TC": "S2_MAJA_L2A", "WICS2_TC": "S2_MAJA_L2A", "SWS_TC": "S1_NRB_L2A", "WICS1_TC": "S1_NRB_L2A"}
 ORBIT_CONDITIONS = ["SWS_TC", "WICS1_TC", "WDS_TC"]
+WHOLE = "Backscatter_10m_TC"
+OFFERS = [(WHOLE, "IW_GRDH_1S"), *SINGLE_INPUT.items(), ("WDS_TC", "S1_NRB_L2A"), ("WDS_TC", "S2_FSC_L2B")]
 
 
-def _heads(new: DataFrame, cat: Catalogue, rules: Rules, wanted: dict[str, str]) -> DataFrame:
-    """Recent inputs offered to conditions by type, not validated for them and on a valid orbit and tile.
+def _heads(new: DataFrame, cat: Catalogue, rules: Rules, offers: list[tuple[str, str]]) -> DataFrame:
+    """Inputs offered to conditions by (condition, type): recent, not validated for them and on a valid orbit and tile.
 
     The inputs are read once, whatever the number of conditions; one anti join on (condition, input) and one join
-    on (condition, tile, orbit) serve them all.
+    on (condition, tile, orbit) serve them all. Whole GRD slices fire whatever their age and validations.
     """
-    offers = F.array(*[
-        F.when((F.col("product_type_code") == kind) & (F.col("harvesting_date") >= rules.since(c)), F.lit(c))
-        for c, kind in wanted.items()])
-    offered = new.filter(F.col("product_type_code").isin(sorted(set(wanted.values())))).select(
-        F.explode(offers).alias("condition"), "id", "product_type_code", "tile", "measurement_day",
-        "relative_orbit_number").filter(F.col("condition").isNotNull())
-    taken = (validated_links(cat).filter(F.col("triggering_condition_name").isin(list(wanted)))
+    accepts = lambda c: ~F.col("is_partial") if c == WHOLE else F.col("harvesting_date") >= rules.since(c)
+    offered = new.filter(F.col("product_type_code").isin(sorted({kind for _, kind in offers}))).select(
+        F.explode(F.array(*[F.when((F.col("product_type_code") == kind) & accepts(c), F.lit(c)) for c, kind in offers])).alias(
+            "condition"), "id", "product_type_code", "tile", "measurement_day", "relative_orbit_number", "harvesting_date").filter(
+        F.col("condition").isNotNull())
+    judged = sorted({c for c, _ in offers} - {WHOLE})
+    taken = (validated_links(cat).filter(F.col("triggering_condition_name").isin(judged))
              .select(F.col("triggering_condition_name").alias("condition"), F.col("raw_input_id").alias("id")))
     heads = offered.join(taken, ["condition", "id"], "left_anti")
     tracks = {"SWS_TC": rules.sws_tracks, "WICS1_TC": rules.wics1_tracks, "WDS_TC": rules.wds_tracks}
-    orbits = [c for c in wanted if c in ORBIT_CONDITIONS and wanted[c] == "S1_NRB_L2A"]
+    orbits = [c for c, kind in offers if c in ORBIT_CONDITIONS and kind == "S1_NRB_L2A"]
     if orbits:
         valid = reduce(DataFrame.unionByName, [tracks[c].select(
             F.lit(c).alias("condition"), "tile", F.col("orbit").alias("relative_orbit_number")) for c in orbits])
         on_orbit = valid.distinct().withColumn("on_orbit", F.lit(True))
-        heads = heads.join(on_orbit, ["condition", "tile", "relative_orbit_number"], "left").filter(
-            ~F.col("condition").isin(orbits) | F.col("on_orbit"))
-    if "SWS_TC" in wanted:
+        bound = F.col("condition").isin(orbits) & (F.col("product_type_code") == "S1_NRB_L2A")
+        heads = heads.join(on_orbit, ["condition", "tile", "relative_orbit_number"], "left").filter(~bound | F.col("on_orbit"))
+    if any(c == "SWS_TC" for c, _ in offers):
         listed = rules.tiles.select("tile").distinct().withColumn("listed", F.lit(True))
         heads = heads.join(listed, "tile", "left").filter((F.col("condition") != "SWS_TC") | F.col("listed"))
-    return heads.select("condition", "id", "tile", "measurement_day")
+    return heads.select("condition", "id", "product_type_code", "tile", "measurement_day", "harvesting_date")
 
 
 def trg_single(new: DataFrame, cat: Catalogue, rules: Rules, conditions: list[str] | None = None) -> DataFrame:
     """TRG-04..06 together: the conditions that bind one input."""
-    wanted = {c: SINGLE_INPUT[c] for c in conditions or SINGLE_INPUT}
-    return _rows(_heads(new, cat, rules, wanted), F.col("condition"), ["id"])
+    offers = [(c, SINGLE_INPUT[c]) for c in conditions or SINGLE_INPUT]
+    return _rows(_heads(new, cat, rules, offers), F.col("condition"), ["id"])
 
 
 def trg_l2a(new: DataFrame, cat: Catalogue, rules: Rules) -> DataFrame:
@@ -201,7 +203,7 @@ def _with_partners(heads: DataFrame, partners: DataFrame, condition: str, is_nrt
 
 def trg_wds_from_sig0(new: DataFrame, cat: Catalogue, rules: Rules) -> DataFrame:
     """TRG-07: recent backscatter on a valid orbit, not validated yet, with all recent FSC of its tile and day."""
-    heads = _heads(new, cat, rules, {"WDS_TC": "S1_NRB_L2A"}).drop("condition")
+    heads = _heads(new, cat, rules, [("WDS_TC", "S1_NRB_L2A")]).select("id", "tile", "measurement_day")
     fsc = _recent(_of_type(cat.raw_inputs, "S2_FSC_L2B"), rules, "WDS_TC").select(
         "tile", "measurement_day", F.col("id").alias("partner_id"))
     return _with_partners(heads, fsc, "WDS_TC")
@@ -212,7 +214,7 @@ def trg_wds_from_fsc(new: DataFrame, cat: Catalogue, rules: Rules) -> DataFrame:
 
     Only that backscatter is bound, whether validated or not, and no other FSC.
     """
-    fsc = _heads(new, cat, rules, {"WDS_TC": "S2_FSC_L2B"})
+    fsc = _heads(new, cat, rules, [("WDS_TC", "S2_FSC_L2B")])
     pair = orbit_valid(latest_sig0(fsc, cat.raw_inputs, rules.since("WDS_TC")), rules.wds_tracks)
     member = pair.withColumn("member", F.explode(F.array("id", "sig0_id")))
     return _rows(member, "WDS_TC", ["id"], member="member")
@@ -287,38 +289,55 @@ def trg_wics1s2(cat: Catalogue, rules: Rules) -> DataFrame:
     return _with_partners(heads, partners, "WICS1S2_TC", is_nrt)
 
 
-def wds_in_sequence(sig0: DataFrame, fsc: DataFrame, new: DataFrame, newest_first: bool = False) -> DataFrame:
-    """The WDS candidates that fire when the inputs of a batch come one after the other, by harvest and id.
+_TILE_DAY = ["tile", "measurement_day"]
+
+
+def wds_in_sequence(heads: DataFrame, ri: DataFrame, rules: Rules, newest_first: bool = False) -> DataFrame:
+    """TRG-07 and TRG-08 together: the WDS candidates that fire when their heads come one after the other, by harvest
+    and id; ``heads`` are those of ``_heads``, written.
 
     A firing backscatter binds all FSC of its tile and day, so none of them fires afterwards. A firing FSC binds the
     last backscatter only, so that one does not fire afterwards, while others do. Hence the last backscatter fires
     unless an FSC comes before every backscatter, and an FSC fires if no backscatter has fired before it.
+
+    The recent inputs on the heads' tiles and days are one row per tile and day: whether there is an FSC, and the
+    last backscatter. Turns are one more such row, so a crowded day is combined before each shuffle.
     """
-    keys = ["tile", "measurement_day"]
     pick, earliest = (F.max, F.greatest) if newest_first else (F.min, F.least)
     before = (lambda a, b: a > b) if newest_first else (lambda a, b: a < b)
-    own = lambda rows, kind: rows.filter(F.col("raw_input_id") == F.col("first_id")).select(
-        *keys, "candidate_key", "first_id", F.lit(kind).alias("kind"))
-    at = new.select(F.col("id").alias("first_id"), "harvesting_date")
-    last = fsc.filter(F.col("raw_input_id") != F.col("first_id")).groupBy(*keys).agg(F.max("raw_input_id").alias("last_id"))
-    heads = own(sig0, "sig0").unionByName(own(fsc, "fsc")).join(at, "first_id").join(last, keys, "left").select(
-        *keys, "candidate_key", F.struct("harvesting_date", "first_id").alias("turn"),
-        F.when((F.col("kind") == "sig0") & F.col("first_id").eqNullSafe(F.col("last_id")), "last")
-        .otherwise(F.col("kind")).alias("kind"))
-    turn = lambda kind: pick(F.when(F.col("kind") == kind, F.col("turn"))).alias(f"{kind}_turn")
-    turns = heads.groupBy(*keys).agg(turn("sig0"), turn("last"), turn("fsc")).withColumn(
+    is_fsc, kind = F.col("product_type_code") == "S2_FSC_L2B", F.col("kind")
+    recent = _recent(ri.filter(F.col("product_type_code").isin("S1_NRB_L2A", "S2_FSC_L2B")), rules, "WDS_TC")
+    days = recent.join(heads.select(*_TILE_DAY).distinct(), _TILE_DAY, "left_semi").groupBy(*_TILE_DAY).agg(
+        F.bool_or(is_fsc).alias("has_fsc"),
+        F.max(F.when(~is_fsc, F.struct("harvesting_date", "id", "relative_orbit_number"))).alias("last"))
+    on_orbit = rules.wds_tracks.select("tile", F.col("orbit").alias("last_orbit")).distinct().withColumn("on_orbit", F.lit(True))
+    days = days.select(*_TILE_DAY, "has_fsc", F.col("last.id").alias("last_id"), F.col("last.relative_orbit_number").alias(
+        "last_orbit")).join(on_orbit, ["tile", "last_orbit"], "left")
+    able = written(heads.join(days, _TILE_DAY).filter(F.when(is_fsc, F.col("on_orbit")).otherwise(F.col("has_fsc"))).select(
+        *_TILE_DAY, "id", "last_id", F.struct("harvesting_date", "id").alias("turn"),
+        F.when(is_fsc, "fsc").when(F.col("id") == F.col("last_id"), "last").otherwise("sig0").alias("kind")), "wds-heads")
+    turn = lambda k: pick(F.when(kind == k, F.col("turn"))).alias(f"{k}_turn")
+    turns = able.groupBy(*_TILE_DAY).agg(turn("sig0"), turn("last"), turn("fsc")).withColumn(
         "last_fires", F.coalesce(~before(F.col("fsc_turn"), earliest("sig0_turn", "last_turn")), F.lit(True))).select(
-        *keys, "last_fires", earliest("sig0_turn", F.when(F.col("last_fires"), F.col("last_turn"))).alias("closed"))
-    fires = (F.when(F.col("kind") == "sig0", True).when(F.col("kind") == "last", F.col("last_fires"))
+        *_TILE_DAY, "last_fires", earliest("sig0_turn", F.when(F.col("last_fires"), F.col("last_turn"))).alias("closed"))
+    fires = (F.when(kind == "sig0", True).when(kind == "last", F.col("last_fires"))
              .otherwise(F.coalesce(before(F.col("turn"), F.col("closed")), F.lit(True))))
-    fired = heads.join(turns, keys).filter(fires).select("candidate_key")
-    return sig0.unionByName(fsc).join(fired, "candidate_key", "left_semi").select(*COLUMNS)
+    fired = able.join(turns, _TILE_DAY).filter(fires).select(*_TILE_DAY, "id", "last_id", "kind")
+    sig0 = fired.filter(kind != "fsc").select("id", *_TILE_DAY).join(
+        _of_type(recent, "S2_FSC_L2B").select(*_TILE_DAY, F.col("id").alias("member")), _TILE_DAY)
+    own = fired.withColumn("member", F.explode(F.when(kind == "fsc", F.array("id", "last_id")).otherwise(F.array("id"))))
+    return _rows(own.select("id", *_TILE_DAY, "member").unionByName(sig0), "WDS_TC", ["id"], member="member")
 
 
 def trigger_all(new: DataFrame, cat: Catalogue, rules: Rules, newest_first: bool = False) -> DataFrame:
-    """TRG-13: new inputs to the triggers of their type, as if one came after the other."""
-    wds = wds_in_sequence(trg_wds_from_sig0(new, cat, rules), trg_wds_from_fsc(new, cat, rules), new, newest_first)
-    return reduce(DataFrame.unionByName, [trg_sig0_full(new), trg_single(new, cat, rules), wds])
+    """TRG-13: new inputs to the triggers of their type, as if one came after the other.
+
+    Every input is offered once to each condition of its type. The heads that are left are written, as the conditions
+    on one input and those on a tile and day both read them.
+    """
+    heads = written(_heads(new, cat, rules, OFFERS), "heads")
+    single = _rows(heads.filter(F.col("condition") != "WDS_TC"), F.col("condition"), ["id"])
+    return single.unionByName(wds_in_sequence(heads.filter(F.col("condition") == "WDS_TC"), cat.raw_inputs, rules, newest_first))
 
 
 def catch_up_inputs(cat: Catalogue, pairs: DataFrame) -> DataFrame:
