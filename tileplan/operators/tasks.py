@@ -105,13 +105,6 @@ def archive_undispatched(cat: Catalogue, flavour: str, tiles: DataFrame, first_d
     return _tasks_of_links(cat, links, flavour)
 
 
-def archive_between(cat: Catalogue, flavour: str, tiles: DataFrame, span: DataFrame) -> DataFrame:
-    """JON-25 with the range given as one row (oldest_day, closing_day) that another query computed."""
-    in_range = F.col("measurement_day").between(F.col("oldest_day"), F.col("closing_day"))
-    links = _archive_links(cat, flavour, tiles).join(F.broadcast(span), in_range, "left_semi")
-    return _tasks_of_links(cat, links, flavour)
-
-
 def _tasks_of_links(cat: Catalogue, links: DataFrame, flavour: str) -> DataFrame:
     return (_undispatched_tasks(cat).join(links.select("trigger_validation_fk_id"), "trigger_validation_fk_id", "left_semi")
             .select(*cat.processing_tasks.columns, F.lit(flavour).alias("flavour")))

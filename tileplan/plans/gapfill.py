@@ -23,22 +23,50 @@ def _fingerprint() -> list[Column]:
     return [F.sum("m").alias("n"), F.bit_xor(h).alias("fx"), F.sum(F.pmod(h, F.lit(1 << 31)) * F.col("m")).alias("fs")]
 
 
+def _stored_sets(cat: Catalogue) -> DataFrame:
+    """The validations that bind a set for a day."""
+    return cat.trigger_validation.filter(F.col("artificial_measurement_day").isNotNull()).select(
+        F.col("id").alias("trigger_validation_id"), F.col("triggering_condition_name").alias("condition"),
+        F.col("artificial_measurement_day").alias("day"))
+
+
+def _counted(links: DataFrame, *more: str) -> DataFrame:
+    return links.groupBy("trigger_validation_id", *more, "raw_input_id").agg(F.count("*").alias("m"))
+
+
+def set_index(cat: Catalogue) -> DataFrame:
+    """AGG-13: the fingerprints of the sets that the validations of ``cat`` bind: one row per validation with a day.
+
+    Given the new validations and links of an append, these are the rows to add to a stored index.
+    """
+    theirs = _counted(cat.raw2valid.join(_stored_sets(cat), "trigger_validation_id"), "condition", "day")
+    return theirs.groupBy("trigger_validation_id", "condition", "day").agg(*_fingerprint())
+
+
 def exact_set_exists(candidates: DataFrame, cat: Catalogue) -> DataFrame:
     """AGG-13: keys of the candidates for which a validation has the same condition, day and members.
 
     ``candidates`` has candidate_key, condition, day and raw_input_id. Sets are first compared by a fingerprint;
     the pairs that agree are then compared member by member, so the answer does not rest on a hash. Copies of a
     member count. No set is gathered into one row.
+
+    Only stored sets of the candidates' days are looked at. Their fingerprints are read from the table ``set_index`` where
+    the catalogue has it (laid out by day, kept up to date by STR-08), and then links are read for the pairs that agree;
+    else the links of those days are read once and written.
     """
     ours = candidates.groupBy("candidate_key", "condition", "day", "raw_input_id").agg(F.count("*").alias("m"))
-    tv = cat.trigger_validation.filter(F.col("artificial_measurement_day").isNotNull()).select(
-        F.col("id").alias("trigger_validation_id"), F.col("triggering_condition_name").alias("condition"),
-        F.col("artificial_measurement_day").alias("day"))
-    theirs = (cat.raw2valid.join(tv, "trigger_validation_id")
-              .groupBy("trigger_validation_id", "condition", "day", "raw_input_id").agg(F.count("*").alias("m")))
-    a = ours.groupBy("candidate_key", "condition", "day").agg(*_fingerprint())
-    b = theirs.groupBy("trigger_validation_id", "condition", "day").agg(*_fingerprint())
-    pairs = a.join(b, ["condition", "day", "n", "fx", "fs"]).select("candidate_key", "trigger_validation_id", "n")
+    a = written(ours.groupBy("candidate_key", "condition", "day").agg(*_fingerprint()), "set-fingerprints")
+    days = [r.day for r in a.select("day").distinct().collect()]  # calendar days
+    if "set_index" in cat.names():
+        index, members = cat.set_index.filter(F.col("day").isin(days)), cat.raw2valid
+    else:
+        members = cat.raw2valid.join(_stored_sets(cat).filter(F.col("day").isin(days)), "trigger_validation_id")
+        members = written(_counted(members, "condition", "day"), "stored-sets")
+        index = members.groupBy("trigger_validation_id", "condition", "day").agg(*_fingerprint())
+    pairs = written(a.join(index, ["condition", "day", "n", "fx", "fs"]).select("candidate_key", "trigger_validation_id", "n"),
+                    "set-pairs")
+    found = members.join(pairs.select("trigger_validation_id").distinct(), "trigger_validation_id", "left_semi")
+    theirs = found if "m" in found.columns else _counted(found)
     equal = (ours.select("candidate_key", "raw_input_id", "m").join(pairs, "candidate_key")
              .join(theirs.select("trigger_validation_id", "raw_input_id", "m"),
                    ["trigger_validation_id", "raw_input_id", "m"])

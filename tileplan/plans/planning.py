@@ -8,7 +8,7 @@ from tileplan.catalogue import Catalogue
 from tileplan.functions.scalars import date_to_day, day_to_date, harvest_dates, source_key
 from tileplan.operators.filters import CUTOVER_DAY
 from tileplan.operators.status import last_input
-from tileplan.operators.tasks import archive_between, lost_sets, oldest_archive_day
+from tileplan.operators.tasks import archive_undispatched, lost_sets, oldest_archive_day
 from tileplan.session import moment
 
 # Fixed values.
@@ -92,14 +92,16 @@ def archive_batch(cat: Catalogue, flavour: str, tiles: DataFrame, params: DataFr
                   before: int = CUTOVER_DAY) -> DataFrame:
     """TSK-05: archive tasks from the oldest open day to one interval later, but before the cut-over.
 
-    ``params`` is the one row of ``run_params``. The oldest day is one row as well, so the range is two values
-    that the scan filter is compared with.
+    ``params`` is the one row of ``run_params``. The two days are computed first, from the open tasks only, and are
+    literals for the scan of the inputs.
     """
     start = oldest_archive_day(cat, flavour, tiles, before).crossJoin(F.broadcast(params))
     shifted = F.date_add(F.add_months(day_to_date("oldest_day"), F.col("interval_months")), F.col("interval_days"))
     last_open = date_to_day(F.date_sub(day_to_date(F.lit(before)), 1))
-    span = start.select("oldest_day", F.least(date_to_day(shifted), last_open).alias("closing_day"))
-    return archive_between(cat, flavour, tiles, span)
+    span = start.select("oldest_day", F.least(date_to_day(shifted), last_open).alias("closing_day")).first()
+    if span is None or span.oldest_day is None:
+        return archive_undispatched(cat, flavour, tiles, 0, 0).limit(0)
+    return archive_undispatched(cat, flavour, tiles, span.oldest_day, span.closing_day)
 
 
 def launch_queue(pending: DataFrame, queued: DataFrame, deployed: DataFrame) -> DataFrame:

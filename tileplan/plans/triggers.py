@@ -226,8 +226,8 @@ def first_l1c_per_tile(l1c: DataFrame) -> DataFrame:
             .select("tile", "first.measurement_day", "first.id"))
 
 
-def cc_history(cat: Catalogue, since_day: int) -> DataFrame:
-    """What is known of cloud classification per (tile, day): pending, earlier and busy flags.
+def cc_history(cat: Catalogue, since_day: int, from_day: int = 0) -> DataFrame:
+    """What is known of cloud classification per (tile, day) from a day on: pending, earlier and busy flags.
 
     ``pending``: a validation without task; ``earlier``: a task with a product; ``busy``: measured after a day, a
     task without dispatch or an unfinished one that returned an exit code. All flags come from one pass.
@@ -245,11 +245,16 @@ def cc_history(cat: Catalogue, since_day: int) -> DataFrame:
     state = state.select(F.col("vid").alias("trigger_validation_id"), (~task).alias("pending"),
                          (task & F.coalesce("made", F.lit(False))).alias("earlier"),
                          (task & (F.col("has_code").isNull() | failing)).alias("busy"))
-    return (members(cat).join(state, "trigger_validation_id").groupBy("tile", F.col("measurement_day").alias("seen_day"))
+    seen = members(cat.replace(raw_inputs=cat.raw_inputs.filter(F.col("measurement_day") >= from_day)))
+    return (seen.join(state, "trigger_validation_id").groupBy("tile", F.col("measurement_day").alias("seen_day"))
             .agg(F.bool_or("pending").alias("pending"), F.bool_or("earlier").alias("earlier"),
                  F.bool_or(F.col("busy") & (F.col("measurement_day") > since_day)).alias("busy")))
 
 
+def _days_before(day: int, days: int) -> int:
+    return day_number(dt.date(day // 10000, day // 100 % 100, day % 100) - dt.timedelta(days=days))
+
+
 def trg_cc(cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame]:
     """TRG-09: cloud classification of the first eligible unprocessed L1C of every tile.
 
@@ -258,14 +263,17 @@ def trg_cc(cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame]:
     L2A. An earlier product without any L2A goes to the second result, the rejects.
 
     The history and the L2A are reduced to one row per tile and day and looked up together; there is one left row
-    per tile, so a tile brings at most as many rows to the join as there are days.
+    per tile, so a tile brings at most as many rows to the join as there are days. The first and last day of the
+    images are computed first: 90 days before the first is a literal for the scans of L2A and history.
     """
     since = rules.earliest_day("CC_TC")
-    first = first_l1c_per_tile(cc_eligible(unprocessed_l1c(cat.raw_inputs, cat.raw2valid), rules.tiles,
-                                           rules.since("CC_TC"), since))
-    l2a = _of_type(cat.raw_inputs, "S2_MAJA_L2A").groupBy("tile", F.col("measurement_day").alias("seen_day")).agg(
-        F.max("id").alias("l2a_id"))
-    seen = cc_history(cat, since).join(l2a, ["tile", "seen_day"], "full")
+    first = written(first_l1c_per_tile(cc_eligible(unprocessed_l1c(cat.raw_inputs, cat.raw2valid), rules.tiles,
+                                                   rules.since("CC_TC"), since)), "first-l1c")
+    low, high = first.agg(F.min("measurement_day"), F.max("measurement_day")).first()
+    low = _days_before(low, LOOK_BACK_DAYS) if low else 0
+    l2a = _of_type(cat.raw_inputs, "S2_MAJA_L2A").filter(F.col("measurement_day").between(low, high or 0)).groupBy(
+        "tile", F.col("measurement_day").alias("seen_day")).agg(F.max("id").alias("l2a_id"))
+    seen = cc_history(cat, since, min(low, since + 1)).join(l2a, ["tile", "seen_day"], "full")
     in_range = F.col("seen_day").between(day_add("measurement_day", -LOOK_BACK_DAYS), F.col("measurement_day"))
     ready = (first.join(seen, "tile", "left").groupBy("tile", "measurement_day", "id").agg(
         F.bool_or(F.coalesce("busy", F.lit(False))).alias("busy"),

@@ -1,6 +1,8 @@
 """SRC and SNK queries."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tileplan.fixtures import AS_OF
 from tileplan.operators.tasks import undispatched
@@ -17,6 +19,34 @@ def _(fx):
     return catalogue.load_catalogue(fx._spark, root).raw_inputs
 
 
+_DAYS = {t: f"CAST(strftime({c}, '%Y%m%d') AS BIGINT)" for t, c in catalogue.LAYOUT.items()} | {"raw_inputs": "measurement_day"}
+_CORE = [t for t in catalogue.CORE_TABLES if t != "tile_geometry"]
+
+
+@query("src01_all_tables", " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_first_days FROM {t}" for t in _CORE if t not in _DAYS]
+    + [f"SELECT '{t}' AS table_name, count(*) AS n_rows, count_if({_DAYS[t]} <= 20240110) AS n_first_days FROM {t}"
+       for t in _CORE if t in _DAYS and t != "raw2valid"]
+    + [f"""SELECT 'raw2valid' AS table_name, count(*) AS n_rows, count_if({_DAYS['raw2valid']} <= 20240110) AS n_first_days
+        FROM raw2valid m LEFT JOIN trigger_validation v ON v.id = m.trigger_validation_id""",
+       "SELECT 'tile_geometry' AS table_name, count(DISTINCT tile) AS n_rows, CAST(0 AS BIGINT) AS n_first_days FROM raw_inputs"]))
+def _(fx):
+    """All core tables written in their layout and read again, whole and by days."""
+    spark, root = fx._spark, shared_dir(fx._spark, "catalogue")
+    geometry = fx.raw_inputs.select("tile").distinct().withColumn("geom", F.concat(F.lit("POINT "), "tile"))
+    catalogue.write_catalogue(fx.replace(tile_geometry=geometry), root)
+    cat = catalogue.load_catalogue(spark, root)
+    parts = []
+    for table in catalogue.CORE_TABLES:
+        whole = getattr(cat, table).agg(F.lit(table).alias("table_name"), F.count("*").alias("n_rows"))
+        first = F.lit(0).cast("bigint")
+        if table in catalogue.LAYOUT:
+            days = catalogue.scan(spark, root, table, (0, 20240110)).agg(F.count("*").alias("n_first_days"))
+            whole, first = whole.crossJoin(days), F.col("n_first_days")
+        parts.append(whole.select("table_name", "n_rows", first.alias("n_first_days")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("src02_reference_tables", """SELECT r.product_type_code, t.processing_level, count(*) AS n_inputs FROM raw_inputs r
     JOIN raster_type t ON t.product_type = r.product_type_code GROUP BY 1, 2""")
 def _(fx):

@@ -6,7 +6,9 @@ from tileplan.fixtures import AS_OF, GFSC_LAST_DAY
 from tileplan.operators.inputs import unprocessed_grd
 from tileplan.plans import gapfill, triggers as trg
 from tileplan.registry import query
+from tileplan.session import shared_dir
 from tileplan.sources.reference import code_table
+from tileplan.sources.tablelog import TableLog
 
 
 # A clock whose seven days back reach before the first event.
@@ -233,18 +235,33 @@ def _(fx):
     return gapfill.trg_gfsc(fx, rules_of(fx), GFSC_LAST_DAY)[0]
 
 
-@query("agg13_exact_set_exists", """WITH mine AS (SELECT r.tile, r.measurement_day AS day,
+_EXISTS = """WITH mine AS (SELECT r.tile, r.measurement_day AS day,
         string_agg(r.id, ',' ORDER BY r.id) AS ids FROM raw_inputs r WHERE r.product_type_code = 'S1_SWS_L2B' GROUP BY 1, 2),
     known AS (SELECT v.artificial_measurement_day AS day, string_agg(m.raw_input_id, ',' ORDER BY m.raw_input_id) AS ids
         FROM trigger_validation v JOIN raw2valid m ON m.trigger_validation_id = v.id
         WHERE v.triggering_condition_name = 'GFSC_TC' GROUP BY v.id, 1)
     SELECT concat(tile, '|', CAST(day AS STRING)) AS candidate_key FROM mine
-    WHERE EXISTS (SELECT 1 FROM known k WHERE k.day = mine.day AND k.ids = mine.ids)""")
-def _(fx):
-    sets = fx.raw_inputs.filter(F.col("product_type_code") == "S1_SWS_L2B").select(
+    WHERE EXISTS (SELECT 1 FROM known k WHERE k.day = mine.day AND k.ids = mine.ids)"""
+
+
+def _sws_sets(fx):
+    return fx.raw_inputs.filter(F.col("product_type_code") == "S1_SWS_L2B").select(
         F.concat_ws("|", "tile", F.col("measurement_day").cast("string")).alias("candidate_key"),
         F.lit("GFSC_TC").alias("condition"), F.col("measurement_day").alias("day"), F.col("id").alias("raw_input_id"))
-    return gapfill.exact_set_exists(sets, fx)
+
+
+@query("agg13_exact_set_exists", _EXISTS)
+def _(fx):
+    return gapfill.exact_set_exists(_sws_sets(fx), fx)
+
+
+@query("agg13_set_index", _EXISTS)
+def _(fx):
+    """The same from a stored index of fingerprints, to which the later half of the sets was appended."""
+    log = TableLog(fx._spark, shared_dir(fx._spark, "set-index"), "triggers")
+    for n in range(2):
+        log.commit(n, {"set_index": gapfill.set_index(fx.replace(trigger_validation=fx.trigger_validation.where(f"id % 2 = {n}")))})
+    return gapfill.exact_set_exists(_sws_sets(fx), fx.replace(set_index=log.rows("set_index")))
 
 
 _WIC = f"""SELECT a.id, a.tile, a.measurement_day, b.id AS partner FROM raw_inputs a JOIN raw_inputs b

@@ -52,12 +52,13 @@ _DDL = {
     "tile_geometry": "tile STRING, geom STRING",
     "tile_track": "tile STRING, orbit INT",
     "tile_list": "tile STRING",
+    "set_index": "trigger_validation_id BIGINT, condition STRING, day BIGINT, n BIGINT, fx BIGINT, fs BIGINT",
 }
 
 SCHEMAS = {name: struct(ddl) for name, ddl in _DDL.items()}
 
 #: Column by whose values the rows of a table lie in folders.
-PARTITIONING = {"raw_inputs": "measurement_day"}
+PARTITIONING = {"raw_inputs": "measurement_day", "set_index": "day"}
 
 # UDF-02: result row types of the status and dispatch reports.
 DISPATCH_INFO = struct(

@@ -18,13 +18,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tileplan.catalogue import Catalogue
 from tileplan.functions.names import products_to_inputs, refused_products
 from tileplan.operators.filters import CUTOVER_DAY, eligible_products
-from tileplan.plans.gapfill import trg_gfsc
+from tileplan.plans.gapfill import set_index, trg_gfsc
 from tileplan.plans.planning import lost_tasks, plan_tasks
 from tileplan.plans.triggers import (
     COLUMNS, Rules, materialise, trg_cc, trg_sig0_orphans, trg_sig0_pairs, trg_wics1s2, trigger_all,
 )
 from tileplan.schemas import SCHEMAS, struct
-from tileplan.session import moment, shared_dir
+from tileplan.session import moment, shared_dir, written
 from tileplan.sources.sinks import append_tasks, insert_ignore, numbered, set_last_day
 from tileplan.sources.tablelog import SEED, TableLog  # noqa: F401
 from tileplan.streaming.queue import run_queue  # noqa: F401
@@ -32,7 +32,7 @@ from tileplan.streaming.running import start
 
 #: Which job's log a table belongs to; others have one of their own.
 LOGS = {"raw_inputs": "ingest", "rejects": "ingest", "trigger_validation": "triggers", "raw2valid": "triggers",
-        "triggerer_config": "triggers", "orphans": "triggers", "pass_runs": "triggers", "processing_tasks": "planner",
+        "triggerer_config": "triggers", "orphans": "triggers", "set_index": "triggers", "pass_runs": "triggers", "processing_tasks": "planner",
         "processing_status_workflow": "recovery", "recovery_runs": "recovery"}
 JOB_SCHEMAS = {**SCHEMAS,
                "rejects": StructType([*SCHEMAS["products"].fields, StructField("reason", StringType())]),
@@ -162,7 +162,7 @@ def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: R
         if log.has(n, "trigger_validation"):
             return
         live = log.state().live
-        now = catalogue().replace(**{t: log.rows(t) for t in ("trigger_validation", "raw2valid", "triggerer_config") if t in live})
+        now = catalogue().replace(**{t: log.rows(t) for t in ("trigger_validation", "raw2valid", "triggerer_config", "set_index") if t in live})
         new, dated, stored, found = batch, rules, {}, []
         if ticks is not None:
             new, tick = batch.where("tick IS NULL").drop("tick"), _time_of(batch)
@@ -175,7 +175,11 @@ def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: R
         if not (found and new.isEmpty()):
             found.append(trigger_all(new.dropDuplicates(["id"]), now, dated).select(*COLUMNS))
         heads, members = materialise(reduce(DataFrame.unionByName, found), now, dated)
-        log.commit(n, {"trigger_validation": heads, "raw2valid": members}, stored)
+        heads, members = written(heads, "new-validations"), written(members, "new-links")
+        sets = set_index(now.replace(trigger_validation=heads, raw2valid=members))
+        if "set_index" not in live:  # the first batch adds the sets that were there before
+            sets = sets.unionByName(set_index(now))
+        log.commit(n, {"trigger_validation": heads, "raw2valid": members, "set_index": sets}, stored)
 
     return start(rows, work, checkpoint, every)
 
