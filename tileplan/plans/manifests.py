@@ -7,19 +7,23 @@ input. So a task with very many inputs is never gathered into one row.
 
 from __future__ import annotations
 
+import re
+from itertools import cycle
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tileplan.functions.names import grd_fields, l1c_fields, l2a_fields, name_parts, sig0_fields
 from tileplan.functions.scalars import base_name, day_to_date, half_day, pad_orbit, path_dir, path_name, source_root
 from tileplan.plans.templates import ROOTS, TITLES, manifest_lines
-from tileplan.schemas import struct
-from tileplan.session import moment, small_table, written
+from tileplan.session import moment
+from tileplan.sources.files import aux_ready
 
 # Fixed values.
 SPAN_DAYS = "7"
 S2_MISSIONS_L1C = ["S2A", "S2B"]
 L2A_MISSIONS = ["SENTINEL2A", "SENTINEL2B", "SENTINEL2C"]
 S1_MISSIONS = ["S1A", "S1B", "S1C"]
+NEED_AUX = ["CC", "WICS1"]
 FLOOR, FLOOR_LATE = "2016-08-01", "2016-09-01"
 KEYS = {"GRD": "input.GRD", "FSCS": "input.FSCs", "SWS": "input.SWS", "FSC": "input.FSC", "WIC_S1": "input.WIC_S1",
         "WIC_S2": "input.WIC_S2"}
@@ -144,48 +148,75 @@ def manifest_rejects(run_info: DataFrame, as_of) -> DataFrame:
             .filter(F.col("reject_reason").isNotNull()))
 
 
-# Stands in a filled pattern for a value the task does not have.
-UNKNOWN = "\u0000"
+_NAME = re.compile(r"\{(\w+)\}")
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def _compiled(pattern: str) -> str:
+    """A pattern as one SQL concatenation of its text and the task's values; null if one of them is unknown. Values are
+    put in as they are, also those that hold braces."""
+    pieces = [f"CAST({x} AS STRING)" if name else _text(x) for name, x in zip(cycle((False, True)), _NAME.split(pattern)) if x]
+    return f"concat({', '.join(pieces)})" if pieces else "''"
 
-def _fill(pattern: Column, names: list[str]) -> Column:
-    """The pattern with the task's values put in for the names in braces."""
-    for name in names:
-        value = F.coalesce(F.col(name).cast("string"), F.lit(UNKNOWN))
-        pattern = F.replace(pattern, F.lit("{" + name + "}"), value)
-    return pattern
+
+def _by_routine(values: dict[str, str]) -> Column:
+    """The SQL value of a task's routine."""
+    cases = " ".join(f"WHEN {_text(routine)} THEN {value}" for routine, value in values.items())
+    return F.expr(f"CASE processing_routine_name {cases} END")
 
 
 def manifests(run_info: DataFrame, as_of, roots: dict[str, str] | None = None, l1c_dates: DataFrame | None = None,
-              routine: str | None = None) -> DataFrame:
+              routine: str | None = None, listing: DataFrame | None = None) -> DataFrame:
     """MAN-01..09 and MAN-11: manifest lines of all good tasks, or of those of one routine.
 
-    The inputs are shuffled once by task to make the task rows, which are written once, as both kinds of lines
-    read them. Templates are a code table and are broadcast, so the single lines need no further shuffle; the list
-    lines join the inputs with the task rows.
+    With ``listing`` (path) of the auxiliary store, tasks whose data of the day is not there yet are held back and come
+    again later (SRC-07); ``held_back`` names them.
+
+    The inputs are shuffled once by task to make the task rows. Templates are compiled to one array of key and value
+    per routine, which is exploded in place; the list lines join the inputs with the task rows, from the same shuffle.
     """
     roots = {**ROOTS, **(roots or {})}
-    spark = run_info.sparkSession
     if routine is not None:
         run_info = run_info.filter(F.col("processing_routine_name") == routine)
-    tasks = manifest_tasks(run_info, as_of, l1c_dates).filter(F.col("reject_reason").isNull())
+    if listing is not None:
+        run_info = _with_aux(run_info, listing)
+    wanted = [r for r in TITLES if routine in (None, r)]
+    tasks = manifest_tasks(run_info, as_of, l1c_dates).filter(F.col("reject_reason").isNull() & F.col(
+        "processing_routine_name").isin(wanted))
     tasks = tasks.withColumns({"l1c_root": source_root("L1C", F.col("date"), roots),
                                "grd_root": source_root("GRD", F.col("date"), roots)})
-    wanted = [r for r in TITLES if routine in (None, r)]
-    titles = small_table(spark, [(r, TITLES[r]) for r in wanted], struct("processing_routine_name STRING, title STRING"))
-    lines = small_table(spark, [x for x in manifest_lines(roots) if x[0] in wanted],
-                        struct("processing_routine_name STRING, key STRING, pattern STRING"))
-    in_title = ["tile", "stamp", "stop", "acquisition", "orbit", "mission", "ymd", "span", "slot"]
-    in_line = ["title", "tile", "year", "month", "day", "ymd", "now", "name", "orbit", "span", "mode", "l1c_root",
-               "l2a_folder", "l2a"]
-    tasks = tasks.join(F.broadcast(titles), "processing_routine_name").withColumn("title", _fill(F.col("title"), in_title))
-    tasks = written(tasks.select("processing_task_id", "processing_routine_name", "grd_root", *in_line), "manifest-tasks")
-    single = (tasks.drop("grd_root")
-              .join(F.broadcast(lines), "processing_routine_name")
-              .withColumn("value", _fill(F.col("pattern"), in_line)))
-    single = single.filter(~F.contains("value", F.lit(UNKNOWN)))
+    tasks = tasks.withColumn("title", _by_routine({r: _compiled(TITLES[r]) for r in wanted}))
+    patterns: dict[str, list[str]] = {r: [] for r in wanted}
+    for r, key, pattern in manifest_lines(roots):
+        if r in patterns:
+            patterns[r].append(f"named_struct('key', {_text(key)}, 'value', {_compiled(pattern)})")
+    lines = F.explode(_by_routine({r: f"array({', '.join(p)})" for r, p in patterns.items()}))
     columns = ["processing_task_id", "processing_routine_name", "key", "value"]
-    return single.select(*columns).unionByName(_list_lines(run_info, tasks, roots).select(*columns))
+    single = tasks.select("processing_task_id", "processing_routine_name", lines.alias("line")).select(
+        "processing_task_id", "processing_routine_name", "line.key", "line.value").filter(F.col("value").isNotNull())
+    return single.unionByName(_list_lines(run_info, tasks, roots).select(*columns))
+
+
+def _with_aux(run_info: DataFrame, listing: DataFrame) -> DataFrame:
+    """SRC-07: the rows of the tasks whose auxiliary data is at hand, by the day that the manifest is made for: that of
+    the L1C for CC, that of the inputs for WICS1."""
+    return run_info.join(held_back(run_info, listing).select("processing_task_id"), "processing_task_id", "left_anti").select(
+        *run_info.columns)
+
+
+def held_back(run_info: DataFrame, listing: DataFrame) -> DataFrame:
+    """SRC-07: (processing_task_id, processing_routine_name, measurement_day) of the tasks that wait for auxiliary data."""
+    routine = F.col("processing_routine_name")
+    main = F.when(routine == "CC", base_name("input_path").rlike("MSI(L)?1C")).otherwise(F.lit(True))
+    days = run_info.filter(routine.isin(NEED_AUX) & main).groupBy("processing_task_id", "processing_routine_name").agg(
+        F.min("measurement_day").alias("measurement_day"))
+    lacking = days.select("processing_routine_name", "measurement_day").distinct()
+    lacking = lacking.join(aux_ready(lacking, listing), ["processing_routine_name", "measurement_day"], "left_anti")
+    return days.join(lacking, ["processing_routine_name", "measurement_day"], "left_semi").select(
+        "processing_task_id", "processing_routine_name", "measurement_day")
 
 
 def _list_lines(run_info: DataFrame, tasks: DataFrame, roots: dict[str, str]) -> DataFrame:

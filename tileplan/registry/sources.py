@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tileplan.fixtures import AS_OF
 from tileplan.operators.tasks import undispatched
 from tileplan.registry import query
-from tileplan.schemas import as_entity
+from tileplan.schemas import NOT_NULL, REFERENCES, UNIQUE, as_entity
 from tileplan.session import moment, shared_dir
 from tileplan.sources import catalogue, files, sinks, tablelog
 
@@ -169,6 +169,51 @@ def _(fx):
     return sinks.constraint_report(broken, ["raw2valid", "processing_tasks"])
 
 
+def _all_rules():
+    """Every declared rule of every table, counted one by one over the broken tables of the query."""
+    parts = []
+    for t in NOT_NULL:
+        rows = f"broken_{t}" if t in ("raw_inputs", "processing_tasks") else t
+        line = lambda rule, c, n, t=t: parts.append(
+            f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{c}' AS column_name, CAST(({n}) AS BIGINT) AS violations")
+        for c in NOT_NULL[t]:
+            line("not_null", c, f"SELECT count(*) FROM {rows} WHERE {c} IS NULL")
+        for c in UNIQUE.get(t, []):
+            line("unique", c, f"SELECT count({c}) - count(DISTINCT {c}) FROM {rows}")
+        for c, parent, key in REFERENCES.get(t, []):
+            kept = f"broken_{parent}" if parent in ("raw_inputs", "processing_tasks") else parent
+            line("reference", c, f"SELECT count(*) FROM {rows} x WHERE x.{c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {kept} y WHERE y.{key} = x.{c})")
+    return """WITH broken_raw_inputs AS (SELECT * FROM raw_inputs WHERE measurement_day % 10 > 0),
+        broken_processing_tasks AS (SELECT * FROM processing_tasks UNION ALL SELECT * FROM processing_tasks WHERE has_ended)
+        """ + " UNION ALL ".join(parts)
+
+
+@query("snk08_all_constraints", _all_rules())
+def _(fx):
+    """All rules of all tables, code tables included, over tables that break some of them."""
+    return sinks.constraint_report(fx.replace(
+        raw_inputs=fx.raw_inputs.filter(F.col("measurement_day") % 10 > 0),
+        processing_tasks=fx.processing_tasks.unionByName(fx.processing_tasks.filter("has_ended"))))
+
+
+@query("snk05_all_outputs", f"""WITH runs AS (SELECT concat('run-', p.id) AS job, p.id, concat('run-', p.id, '|{AS_OF}|3') AS k
+        FROM processing_tasks p WHERE p.id NOT IN (SELECT processing_task_id FROM processingtask2nomad))
+    SELECT 'dispatch' AS kind, job AS a, CAST(NULL AS STRING) AS b FROM runs
+    UNION ALL SELECT 'link', job, CAST(id AS STRING) FROM runs
+    UNION ALL SELECT 'status', job, CAST((SELECT max(id) FROM processing_status_workflow) + row_number() OVER (
+        ORDER BY substr(md5(k), 1, 3), k) AS STRING) FROM runs""")
+def _(fx):
+    """The three tables that a launch adds to."""
+    waiting = undispatched(fx, "hma.large", 0).unionByName(undispatched(fx, "eo1.large", 0))
+    runs = waiting.select(F.concat(F.lit("run-"), F.col("id").cast("string")).alias("nomad_job_id"),
+                          F.col("id").alias("processing_task_id"), F.lit("pending").alias("status_name"),
+                          moment(AS_OF).alias("date"), F.lit(None).cast("int").alias("exit_code"))
+    jobs, links, statuses = sinks.append_dispatch(fx, runs)
+    row = lambda df, kind, a, b: df.select(F.lit(kind).alias("kind"), F.col(a).alias("a"), b.cast("string").alias("b"))
+    return row(jobs, "dispatch", "id", F.lit(None)).unionByName(row(links, "link", "nomad_job_id", F.col(
+        "processing_task_id"))).unionByName(row(statuses, "status", "nomad_job_dispatch_fk_id", F.col("id")))
+
+
 @query("prj22_as_entity", "SELECT * EXCLUDE (acquisition_date, state) FROM sentinel_tile")
 def _(fx):
     return as_entity(fx.sentinel_tile, "raw_inputs")

@@ -83,6 +83,12 @@ NOT_NULL = {
     "products": ["id", "product_type_code", "product_path", "creation_date", "catalogue_date"],
     "indexation_json": ["id", "product_fk_id", "path"],
     "indexation_workflow": ["id", "product_fk_id", "publication_date"],
+    "raster_type": ["product_type"],
+    "processing_routine": ["name", "product_type_code"],
+    "triggering_condition": ["name", "processing_routine_name"],
+    "processing_status": ["id", "code", "name"],
+    "indexation_failure_type": ["id", "code", "name"],
+    "indexation_file_type": ["id", "name"],
 }
 UNIQUE = {
     "raw_inputs": ["id"],
@@ -93,6 +99,12 @@ UNIQUE = {
     "products": ["id", "product_path"],
     "indexation_json": ["id", "path"],
     "indexation_workflow": ["id"],
+    "raster_type": ["product_type"],
+    "processing_routine": ["name"],
+    "triggering_condition": ["name"],
+    "processing_status": ["id", "code", "name"],
+    "indexation_failure_type": ["id", "code", "name"],
+    "indexation_file_type": ["id", "name"],
 }
 REFERENCES = {
     "raw_inputs": [("product_type_code", "raster_type", "product_type")],
@@ -109,6 +121,8 @@ REFERENCES = {
                         ("indexation_file_type_id", "indexation_file_type", "id")],
     "indexation_workflow": [("product_fk_id", "products", "id"),
                             ("indexation_failure_type_id", "indexation_failure_type", "id")],
+    "processing_routine": [("product_type_code", "raster_type", "product_type")],
+    "triggering_condition": [("processing_routine_name", "processing_routine", "name")],
 }
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tileplan.catalogue import Catalogue
 from tileplan.functions.scalars import source_key
-from tileplan.schemas import NOT_NULL, REFERENCES, UNIQUE
+from tileplan.schemas import NOT_NULL, REFERENCES, UNIQUE, struct
+from tileplan.session import small_table
 
 
 def insert_ignore(target: DataFrame, new: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -120,25 +121,38 @@ def delete_cascade(parent: DataFrame, key: str, children: list[tuple[DataFrame,
 
 
 def constraint_report(cat: Catalogue, tables: list[str] | None = None) -> DataFrame:
-    """SNK-08: number of violations per table, rule and column; rules without violation show 0."""
+    """SNK-08: number of violations per table, rule and column; rules without violation show 0.
+
+    Every table is read once. A row gives one entry per rule, (space, key, rule): a space is a column that is
+    unique or that others refer to, rule 0 means that the key is there. Entries are counted by all three and then by
+    space and key, both combined before the shuffle, so copies of a key and a parent that most rows refer to cost little.
+    """
     tables = tables or list(NOT_NULL)
+    wanted = [(t, c, p, k) for t in tables for c, p, k in REFERENCES.get(t, [])]
+    spaces = list(dict.fromkeys([(t, c) for t in tables for c in UNIQUE.get(t, [])] + [(p, k) for _, _, p, k in wanted]))
+    labels = ([(t, "not_null", c) for t in tables for c in NOT_NULL.get(t, [])]
+              + [(t, "unique", c) for t in tables for c in UNIQUE.get(t, [])] + [(t, "reference", c) for t, c, _, _ in wanted])
+    number = {label: i for i, label in enumerate(labels, 1)}
+    entry = lambda space, key, rule: F.struct(F.lit(space).alias("space"), key.alias("key"), F.lit(rule).alias("rule"))
     parts = []
-    result = lambda table, rule, column, n: [
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.lit(column).alias("column_name"),
-        n.cast("bigint").alias("violations")]
-    for table in tables:
-        df = getattr(cat, table)
-        # All null checks of a table are one scan.
-        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL[table]])
-        parts.append(nulls.unpivot([], NOT_NULL[table], "column_name", "violations").select(
-            F.lit(table).alias("table_name"), F.lit("not_null").alias("rule"), "column_name",
-            F.col("violations").cast("bigint").alias("violations")))
-        for column in UNIQUE.get(table, []):
-            copies = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1")
-            parts.append(copies.agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("n"))
-                         .select(*result(table, "unique", column, F.col("n"))))
-        for column, parent, parent_key in REFERENCES.get(table, []):
-            keys = getattr(cat, parent).select(F.col(parent_key).alias("_key"))
-            lost = df.filter(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_key"), "left_anti")
-            parts.append(lost.agg(F.count("*").alias("n")).select(*result(table, "reference", column, F.col("n"))))
-    return reduce(DataFrame.unionByName, parts)
+    for table in dict.fromkeys([*tables, *[t for t, _ in spaces]]):
+        there = [entry(i, F.col(c).cast("string"), 0) for i, (t, c) in enumerate(spaces) if t == table]
+        refers = [entry(spaces.index((p, k)), F.col(c).cast("string"), number[t, "reference", c]) for t, c, p, k in wanted if t == table]
+        nulls = [F.when(F.col(c).isNull(), entry(-1, F.lit(""), number[table, "not_null", c]))
+                 for c in NOT_NULL.get(table, []) if table in tables]
+        if entries := there + refers + nulls:
+            parts.append(getattr(cat, table).select(F.explode(F.array(*entries)).alias("e")).select("e.*").where("key IS NOT NULL"))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("space", "key", "rule").agg(F.count("*").alias("n"))
+    by_key = counts.groupBy("space", "key").agg(
+        F.max(F.when(F.col("rule") == 0, F.col("n"))).alias("own"),
+        F.collect_list(F.struct("rule", "n")).alias("entries"))  # one a rule
+    unique_of = F.element_at(F.create_map(F.lit(-2), F.lit(0), *[
+        F.lit(x) for i, (t, c) in enumerate(spaces) if (t, "unique", c) in number for x in (i, number[t, "unique", c])]), F.col("space"))
+    found = by_key.select("space", "own", F.explode("entries").alias("e")).select(
+        F.when(F.col("e.rule") == 0, unique_of).otherwise(F.col("e.rule")).alias("rule"),
+        F.when(F.col("e.rule") == 0, F.col("own") - 1).when((F.col("space") < 0) | F.col("own").isNull(), F.col("e.n"))
+        .otherwise(0).alias("n")).groupBy("rule").agg(F.sum("n").alias("n"))
+    names = small_table(cat.raw_inputs.sparkSession, [(i, *label) for label, i in number.items()],
+                        struct("rule INT, table_name STRING, kind STRING, column_name STRING"))
+    return names.join(found, "rule", "left").select(
+        "table_name", F.col("kind").alias("rule"), "column_name", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))
