@@ -7,21 +7,25 @@ functions temporary functions of the session.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tileplan.catalogue import Catalogue
 from tileplan.operators.inputs import inputs_without_task
 from tileplan.operators.status import input_task_summary, processed_flag, ready_to_launch
+from tileplan.schemas import DISPATCH_INFO, SCHEMAS, STATUS_HISTORY
 
-# The columns of an input row.
-_INPUT = """id STRING, product_type_code STRING, start_date TIMESTAMP_NTZ, publishing_date TIMESTAMP_NTZ, tile STRING,
-    measurement_day BIGINT, input_path STRING, is_partial BOOLEAN, relative_orbit_number INT,
-    harvesting_date TIMESTAMP_NTZ"""
-_INPUT_COLUMNS = ", ".join("r." + c.split()[0] for c in _INPUT.split(","))
-_TASK = """id BIGINT, trigger_validation_fk_id BIGINT, creation_date TIMESTAMP_NTZ, processing_date BIGINT,
-    preceding_input_id STRING, has_ended BOOLEAN, intermediate_files_path STRING"""
-_TASK_COLUMNS = ", ".join("p." + c.split()[0] for c in _TASK.split(","))
-_DISPATCH = """nomad_job_id STRING, nomad_job_dispatch STRING, nomad_job_dispatch_creation_date TIMESTAMP_NTZ,
-    nomad_job_dispatch_log_file_path STRING"""
+def _layout(schema: StructType) -> str:
+    """A row type as the columns of a table function."""
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
+def _columns(alias: str, schema: StructType) -> str:
+    return ", ".join(f"{alias}.{f.name}" for f in schema)
+
+
+_INPUT, _INPUT_COLUMNS = _layout(SCHEMAS["raw_inputs"]), _columns("r", SCHEMAS["raw_inputs"])
+_TASK, _TASK_COLUMNS = _layout(SCHEMAS["processing_tasks"]), _columns("p", SCHEMAS["processing_tasks"])
+_DISPATCH = _layout(DISPATCH_INFO)  # UDF-02
 
 # Optional column of the task table: the worker a task runs on.
 WORKER = "virtual_machine_id"
@@ -48,8 +52,7 @@ FUNCTIONS = {
         "SELECT coalesce(bool_or(t.is_processed), false) FROM processed_flag_v t WHERE t.id = task",
     f"get_processing_tasks_not_finished() RETURNS TABLE ({_TASK})":
         f"SELECT {_TASK_COLUMNS} FROM processing_tasks p WHERE p.has_ended = false",
-    """get_status_history_by_processing_task_id(task BIGINT) RETURNS TABLE (id BIGINT, processing_status_date TIMESTAMP_NTZ,
-        processing_status_code BIGINT, processing_status_name STRING, processing_status_message STRING)""":
+    f"get_status_history_by_processing_task_id(task BIGINT) RETURNS TABLE ({_layout(STATUS_HISTORY)})":
         """SELECT s.id, s.date, k.code, k.name, s.message FROM processingtask2nomad n
         JOIN processing_status_workflow s ON s.nomad_job_dispatch_fk_id = n.nomad_job_id
         JOIN processing_status k ON k.id = s.processing_status_id WHERE n.processing_task_id = task""",
