@@ -163,3 +163,28 @@ def _(fx):
     ELSE CAST(u AS STRING) END AS orbit FROM (SELECT id, CAST(substr(id, 3) AS BIGINT) % 1200 AS u FROM raw_inputs) x""")
 def _(fx):
     return fx.raw_inputs.select("id", s.pad_orbit(F.substring("id", 3, 20).cast("bigint") % 1200).alias("orbit"))
+
+
+_IMAGE = "concat('registry.', lower(tile), '.example:', CAST(5000 + measurement_day % 10 AS STRING), '/wsi/', lower(product_type_code), ':', id)"
+
+
+@query("prj15_image_parts", f"""SELECT id, concat('registry.', lower(tile), '.example') AS registry_host, CAST(5000 + measurement_day % 10 AS STRING) AS registry_port,
+    concat('wsi/', lower(product_type_code)) AS image_name, id AS tag, {_IMAGE} AS image FROM raw_inputs""")
+def _(fx):
+    """Image texts taken apart and put together again."""
+    parts = fx.sql(f"SELECT id, {_IMAGE} AS image FROM raw_inputs").select("id", s.image_parts("image").alias("p")).select("id", "p.*")
+    return parts.withColumn("image", s.image_text(*[F.col(c) for c in ("registry_host", "registry_port", "image_name", "tag")]))
+
+
+_NAMED = "(SELECT id, date_trunc('second', start_date) AS begin, CAST(right(id, 1) AS INT) AS k FROM raw_inputs)"
+
+
+@query("prj16_l1c_product_date", f"""SELECT id, strftime(CASE WHEN k BETWEEN 4 AND 6 THEN begin + (k - 3) * INTERVAL '20' SECOND ELSE begin END,
+    '%Y%m%dT%H%M%S') AS product_date FROM {_NAMED} n""")
+def _(fx):
+    """Names from a minute before the interval to two minutes after it; both ends lie outside."""
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    rows = fx.sql(f"SELECT id, begin, begin + (k - 3) * INTERVAL '20' SECOND AS named, begin + INTERVAL '80' SECOND AS until FROM {_NAMED} n")
+    xml = F.concat(F.lit('<md xmlns:gml="http://www.opengis.net/gml"><gml:TimePeriod><gml:beginPosition>'), stamp("begin"),
+                   F.lit("</gml:beginPosition><gml:endPosition>"), stamp("until"), F.lit("</gml:endPosition></gml:TimePeriod></md>"))
+    return rows.select("id", s.l1c_product_date(xml, F.date_format("named", "yyyyMMdd'T'HHmmss")).alias("product_date"))

@@ -67,6 +67,25 @@ def _(fx):
     return files.tile_names(fx.sql("SELECT concat('- ', tile) AS value FROM tile_list"))
 
 
+_CORNERS = "CAST(CAST(substr(tile, 1, 2) AS INT) AS STRING) AS x, CAST(length(tile) AS STRING) AS y, CAST(substr(tile, 1, 2) AS INT) % 3 AS kind"
+
+
+@query("src04_tile_geometry", f"""SELECT tile, CASE kind WHEN 0 THEN 'POLYGON Z((' || x || ' ' || y || ' 0, 9 9 0, ' || x || ' ' || y || ' 0))'
+    WHEN 1 THEN 'MULTIPOLYGON Z(((' || x || ' 1 0, 2 2 0), (5 5 0, 6 6 0)), ((7 ' || y || ' 0, 8 8 0)))' END AS geom
+    FROM (SELECT DISTINCT tile, {_CORNERS} FROM raw_inputs) t""")
+def _(fx):
+    """A GeoJSON file of all tiles: polygons with a hole, multipolygons, and points, which are rejected."""
+    spark, root = fx._spark, shared_dir(fx._spark, "geometry")
+    feature = F.expr("""concat('{"properties":{"Name":"', tile, '"},"geometry":{"type":', CASE kind
+        WHEN 0 THEN concat('"Polygon","coordinates":[[[', x, ',', y, ',0],[9,9,0],[', x, ',', y, ',0]],[[1,1,0]]]')
+        WHEN 1 THEN concat('"MultiPolygon","coordinates":[[[[', x, ',1,0],[2,2,0]],[[5,5,0],[6,6,0]]],[[[7,', y, ',0],[8,8,0]]]]')
+        ELSE concat('"Point","coordinates":[', x, ',', y, ']') END, '}}')""")
+    tiles = fx.sql(f"SELECT DISTINCT tile, {_CORNERS} FROM raw_inputs").select(feature.alias("f"))
+    tiles.agg(F.concat(F.lit('{"features":['), F.array_join(F.collect_list("f"), ","), F.lit("]}"))).write.text(root)
+    good, refused = files.read_tile_geometry(spark, root)
+    return good.unionByName(refused.select("tile", F.lit(None).cast("string").alias("geom")))
+
+
 @query("src07_aux_ready", """SELECT r.raw_input_id, r.processing_routine_name, r.measurement_day FROM run_inputs r
     WHERE CASE r.processing_routine_name WHEN 'CC' THEN r.measurement_day % 4 > 0
         WHEN 'WICS1' THEN r.measurement_day % 5 > 0 AND r.measurement_day % 7 > 0 ELSE true END""")

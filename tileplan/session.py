@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,10 +29,33 @@ def build_session(name: str = "tileplan", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+_USED: ContextVar[list[str] | None] = ContextVar("folders of a scratch block", default=None)
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below spark.checkpoint.dir, or where that is unset below the warehouse, which is shared as well."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/tileplan/{label}-{uuid.uuid4().hex}"
+    """A new folder below spark.checkpoint.dir, or, on one machine, below the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/tileplan/{label}-{uuid.uuid4().hex}"
+    if (used := _USED.get()) is not None:
+        used.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove the folders that ``written`` makes inside the block when it ends; their frames must not be used later."""
+    token = _USED.set([])
+    try:
+        yield
+    finally:
+        folders = _USED.get()
+        _USED.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
