@@ -4,10 +4,11 @@ All strings of ``length`` bytes are compared, but not on one machine: each goes
 smallest hash of its substrings of ``core`` bytes, so equal strings meet. Neighbouring strings with the same minimizer
 travel as one piece. A group with one piece has no repeat; a piece whose whole content occurs twice is repeated whole,
 so copies are counted, not compared; the distinct pieces of the other groups are put side by side and the
-Burrows-Wheeler transform of suffixes.py finds what they share. A group of very many distinct pieces is taken apart by
-minimizers as long as the strings themselves, where equal pieces are all there is to find.
+Burrows-Wheeler transform of suffixes.py finds what they share. A group of very many distinct pieces is dealt over several
+transforms, which then compare their strings, each named once by each.
 
-Texts are told apart by MD5, pieces of a group by 64-bit hashes; a text that occurs twice is counted once.
+Texts are told apart by MD5, pieces of a group by 64-bit hashes; a text that occurs twice is counted once. A task holds
+one text (some 60 bytes a byte of it) or the pieces of one transform.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 class Settings:
     length: int = 400
     core: int = 128
-    crowded: int = 256  # distinct pieces from which a group is taken apart
+    crowded: int = 256  # distinct pieces of a group that go to one transform, about
     batch: int = 1 << 20  # bytes that one transform takes, or one group where it is larger
 
 
@@ -94,10 +95,12 @@ def pieces(values: np.ndarray, offsets: np.ndarray, length: int, core: int):
 
 
 PIECES = "key LONG, content LONG, id BINARY, start LONG, n LONG, again BOOLEAN"
-SPANS = "key LONG, content LONG, begin LONG, end LONG"
+SPANS = "key LONG, content LONG, spans ARRAY<STRUCT<begin: LONG, end: LONG>>"
 PIECE_SCHEMA = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("id", pa.binary()), ("start", pa.int64()),
                           ("n", pa.int64()), ("again", pa.bool_())])
-SPAN_SCHEMA = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
+SPAN_LIST = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+SPAN_SCHEMA = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("spans", SPAN_LIST)])
+HELD = ("key", "shard", "content", "weight", "bytes")
 
 
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -118,25 +121,25 @@ def cut(texts: DataFrame, settings: Settings) -> DataFrame:
 
 
 def shared_by_transform(grouped: DataFrame, settings: Settings) -> DataFrame:
-    """Spans of strings that occur again, relative to each piece; ``grouped`` (key, content, bytes) comes with the pieces
-    of a key together."""
+    """Spans of strings that occur again among the pieces of a (key, shard), relative to each piece; ``grouped`` (key,
+    shard, content, weight, bytes) comes with those together, and small ones share a transform."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, int, bytes]] = []
+        held: list[tuple] = []
         size = 0
 
         def found() -> pa.RecordBatch:
-            rows = [(key, content, a, b) for (key, content, _), flags in zip(held, repeated_starts(
-                [p for *_, p in held], settings.length), strict=True) for a, b in runs(flags)]
-            return batch_of(SPAN_SCHEMA, *([list(c) for c in zip(*rows)] or [[]] * 4))
+            rows = [(key, content, [{"begin": a, "end": b} for a, b in runs(flags)]) for (key, _, content, _, _), flags in zip(
+                held, repeated_starts([row[-1] for row in held], settings.length), strict=True)]
+            return batch_of(SPAN_SCHEMA, *([list(c) for c in zip(*[r for r in rows if r[2]])] or [[]] * 3))
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "bytes")), strict=True):
-                if size > settings.batch and row[0] != held[-1][0]:
+            for row in zip(*(batch.column(c).to_pylist() for c in HELD), strict=True):
+                if size > settings.batch and row[:2] != held[-1][:2]:
                     yield found()
                     held.clear()
                     size = 0
                 held.append(row)
-                size += len(row[2])
+                size += len(row[-1])
         if held:
             yield found()
 
@@ -144,27 +147,43 @@ def shared_by_transform(grouped: DataFrame, settings: Settings) -> DataFrame:
 
 
 def shared_by_string(crowded: DataFrame, settings: Settings) -> DataFrame:
-    """The same for crowded groups: every string by itself, counted before the shuffle."""
-    schema = pa.schema([("key", pa.int64()), ("content", pa.int64()), ("at", pa.int64()), ("string", pa.int64())])
+    """The same between the shards of crowded groups: each shard names each of its strings once, with the place of one
+    that it has once."""
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "string", "weight", "content", "at")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def named() -> pa.RecordBatch:
+            many = np.array([len(row[-1]) - settings.length + 1 for row in held], np.int64)
+            string = np.concatenate([Hashes(np.frombuffer(row[-1], np.uint8)).of(np.arange(n), settings.length)
+                                     for row, n in zip(held, many.tolist(), strict=True)])
+            row_of = np.repeat(np.arange(len(held)), many)
+            at = np.arange(len(string)) - np.repeat(np.cumsum(many) - many, many)
+            distinct, first, which = np.unique(string, return_index=True, return_inverse=True)
+            weight = np.bincount(which, np.array([row[3] for row in held], float)[row_of]).astype(np.int64)
+            return batch_of(schema, np.full(len(distinct), held[0][0], np.int64), distinct.astype(np.int64), np.minimum(weight, 2),
+                            np.array([row[2] for row in held], np.int64)[row_of[first]], at[first])
+
         for batch in batches:
-            for key, content, data in zip(*(batch.column(c).to_pylist() for c in ("key", "content", "bytes")), strict=True):
-                at = np.arange(len(data) - settings.length + 1)
-                string = Hashes(np.frombuffer(data, np.uint8)).of(at, settings.length)
-                yield batch_of(schema, [key] * len(at), [content] * len(at), at, string.astype(np.int64))
+            for row in zip(*(batch.column(c).to_pylist() for c in HELD), strict=True):
+                if held and row[:2] != held[-1][:2]:
+                    yield named()
+                    held.clear()
+                held.append(row)
+        if held:
+            yield named()
 
-    strings = crowded.mapInArrow(run, "key LONG, content LONG, at LONG, string LONG")
-    place = F.xxhash64("content", "at")
-    often = strings.groupBy("key", "string").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b")
-    return strings.join(often, ["key", "string"], "left_semi").select(
-        "key", "content", F.col("at").alias("begin"), (F.col("at") + 1).alias("end"))
+    strings = written(crowded.mapInArrow(run, "key LONG, string LONG, weight LONG, content LONG, at LONG"), "strings")
+    often = strings.groupBy("key", "string").agg(F.sum("weight").alias("many")).where("many > 1").select("key", "string")
+    own = strings.where("weight = 1").join(often, ["key", "string"], "left_semi")
+    return own.groupBy("key", "content").agg(F.collect_list(F.struct(
+        F.col("at").alias("begin"), (F.col("at") + 1).alias("end"))).alias("spans"))  # places of one piece
 
 
 def merged(spans: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
     """(id, spans, n_removed, kept_sha256): per text its maximal removed runs; ``spans`` are of string starts."""
-    schema = pa.schema([("id", pa.binary()), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                        ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
+    schema = pa.schema([("id", pa.binary()), ("spans", SPAN_LIST), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -179,7 +198,7 @@ def merged(spans: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
                     np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest()))
             yield batch_of(schema, batch.column("id").cast(pa.binary()), *([list(c) for c in zip(*out)]))
 
-    own = spans.groupBy("id").agg(F.collect_list(F.struct("begin", "end")).alias("own"))  # one text's own places
+    own = spans.groupBy("id").agg(F.flatten(F.collect_list("spans")).alias("own"))  # one text's own places
     return texts.join(own, "id").select("id", "text", "own").mapInArrow(
         run, "id BINARY, spans ARRAY<STRUCT<begin: LONG, end: LONG>>, n_removed LONG, kept_sha256 STRING")
 
@@ -210,16 +229,20 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), text: str
     one = copies.join(chosen, "id", "left_semi").select("id", "key")
     texts = written(named.alias("d").join(one.alias("o"), F.expr("d.key <=> o.key AND d.id = o.id")).select(
         "d.id", "d.text").dropDuplicates(["id"]), "chosen-texts")
+    shards = F.greatest(F.ceil(F.col("many") / max(settings.crowded, 1)), F.lit(1))
     asked = written(contents.join(groups, "key").join(texts, "id").select(
-        "key", "content", "many", F.expr(f"substring(encode(text, 'UTF-8'), int(start) + 1, int(n) + {settings.length - 1})")
-        .alias("bytes")), "asked")
-    small = asked.where(F.col("many") <= settings.crowded).repartition("key").sortWithinPartitions("key", "content")
-    spans = (contents.where("often").select("key", "content", F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"))
-             .union(shared_by_transform(small.select("key", "content", "bytes"), settings))
-             .union(shared_by_string(asked.where(F.col("many") > settings.crowded).select("key", "content", "bytes"), settings)))
-    placed = candidates.join(spans, ["key", "content"]).select(
-        "id", (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end"))
-    removed = merged(placed.distinct(), texts, settings)
+        "key", F.pmod(F.xxhash64("content"), shards).cast("long").alias("shard"), "content", "many",
+        F.when(F.col("often"), 2).otherwise(1).cast("long").alias("weight"),
+        F.expr(f"substring(encode(text, 'UTF-8'), int(start) + 1, int(n) + {settings.length - 1})").alias("bytes")), "asked")
+    together = lambda df: df.repartition("key", "shard").sortWithinPartitions("key", "shard", "content").select(*HELD)
+    whole_piece = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n").alias("end")))
+    spans = (contents.where("often").select("key", "content", whole_piece.alias("spans"))
+             .union(shared_by_transform(together(asked), settings))
+             .union(shared_by_string(together(asked.where(F.col("many") > settings.crowded)), settings)))
+    spans = spans.groupBy("key", "content").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # three lists at most
+    placed = candidates.select("key", "content", "id", "start").join(spans, ["key", "content"]).select(
+        "id", F.expr("transform(spans, s -> struct(s.begin + start AS begin, s.end + start AS end))").alias("spans"))
+    removed = merged(placed, texts, settings)
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= settings.length)
     everything = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_bytes").alias("end")))
     spans_of = F.when(whole, everything).otherwise(F.coalesce("spans", F.slice(everything, 1, 0)))
