@@ -25,8 +25,8 @@ def brute(rows, length):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("settings", [repeats.Settings(), repeats.Settings(crowded=2), repeats.Settings(crowded=1, batch=1),
-                                      repeats.Settings(length=60, core=16, crowded=3)], ids=str)
+@pytest.mark.parametrize("settings", [repeats.Settings(), repeats.Settings(batch=1500), repeats.Settings(batch=1),
+                                      repeats.Settings(length=60, core=16, batch=700)], ids=str)
 def test_against_all_strings(spark, settings):
     rng = np.random.default_rng(settings.length)
     prose = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 4000, n))

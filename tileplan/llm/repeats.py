@@ -35,8 +35,7 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 class Settings:
     length: int = 400
     core: int = 128
-    crowded: int = 256  # distinct pieces of a group that go to one transform, about
-    batch: int = 1 << 20  # bytes that one transform takes, or one group where it is larger
+    batch: int = 1 << 20  # bytes that one transform takes, about; a group with more is dealt over several
 
 
 class Hashes:
@@ -223,22 +222,23 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings(), text: str
         F.min(place).alias("a"), F.max(place).alias("b"), F.max("again").alias("again"),
         F.min(F.struct("id", "start", "n")).alias("one"))
     contents = written(contents.select("key", "content", (F.col("a") != F.col("b")).alias("often"), "again", "one.*"), "contents")
-    groups = contents.groupBy("key").agg(F.count("*").alias("many"), F.max("again").alias("r")).where(
-        "many > 1 OR r").select("key", "many")
+    groups = contents.groupBy("key").agg(
+        F.count("*").alias("many"), F.max("again").alias("r"), F.sum(F.col("n") + settings.length - 1).alias("size")).where(
+        "many > 1 OR r").select("key", "size")
     chosen = candidates.select("id").distinct()
     one = copies.join(chosen, "id", "left_semi").select("id", "key")
     texts = written(named.alias("d").join(one.alias("o"), F.expr("d.key <=> o.key AND d.id = o.id")).select(
         "d.id", "d.text").dropDuplicates(["id"]), "chosen-texts")
-    shards = F.greatest(F.ceil(F.col("many") / max(settings.crowded, 1)), F.lit(1))
+    shards = F.greatest(F.ceil(F.col("size") / settings.batch), F.lit(1))
     asked = written(contents.join(groups, "key").join(texts, "id").select(
-        "key", F.pmod(F.xxhash64("content"), shards).cast("long").alias("shard"), "content", "many",
+        "key", F.pmod(F.xxhash64("content"), shards).cast("long").alias("shard"), "content", "size",
         F.when(F.col("often"), 2).otherwise(1).cast("long").alias("weight"),
         F.expr(f"substring(encode(text, 'UTF-8'), int(start) + 1, int(n) + {settings.length - 1})").alias("bytes")), "asked")
     together = lambda df: df.repartition("key", "shard").sortWithinPartitions("key", "shard", "content").select(*HELD)
     whole_piece = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n").alias("end")))
     spans = (contents.where("often").select("key", "content", whole_piece.alias("spans"))
              .union(shared_by_transform(together(asked), settings))
-             .union(shared_by_string(together(asked.where(F.col("many") > settings.crowded)), settings)))
+             .union(shared_by_string(together(asked.where(F.col("size") > settings.batch)), settings)))
     spans = spans.groupBy("key", "content").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # three lists at most
     placed = candidates.select("key", "content", "id", "start").join(spans, ["key", "content"]).select(
         "id", F.expr("transform(spans, s -> struct(s.begin + start AS begin, s.end + start AS end))").alias("spans"))
