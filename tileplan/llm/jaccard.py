@@ -3,7 +3,9 @@
 Near pairs share a shingle among the first few of each set in one order of all shingles, for else too many would be
 missing in one of them. So a shingle gathers a region around its pivot, the set with the smallest id that has the
 shingle among its first; a set belongs to the regions of all its first shingles, which is how far the distance lets a
-partner be. Very frequent shingles come last in the order; that keeps regions small and changes no result.
+partner be. Very frequent shingles come last in the order; that keeps regions small and changes no result. Each set
+knows its place in a region, the number of its shingles before the first that the region has: a pair that shares nothing
+earlier can share what follows at most, and that is often too little.
 
 Distances to the pivot come first. By the triangle inequality a pair of a region can be near only if its distances to
 the pivot differ by the limit at most, and a pair that is connected already needs no test: so a large group of near
@@ -60,7 +62,8 @@ def sets_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def first_shingles(ids: np.ndarray, shingles: np.ndarray, bounds: np.ndarray, percent: int, frequent: np.ndarray):
-    """(shingle, set id, is frequent) of the first shingles of each distinct set: frequent ones last, then by hash."""
+    """(shingle, set id, place in the order, is frequent) of the first shingles of each distinct set: frequent ones last,
+    then by hash."""
     _, once = np.unique(ids, return_index=True)
     once = once[ids[once] != 0]
     sizes = np.diff(bounds)[once]
@@ -74,7 +77,7 @@ def first_shingles(ids: np.ndarray, shingles: np.ndarray, bounds: np.ndarray, pe
         own, late = own[order], late[order]
     length = sizes - (percent * sizes + 99) // 100 + 1
     first = inside < np.repeat(length, sizes)
-    return own[first], ids[once][owner[first]], late[first]
+    return own[first], ids[once][owner[first]], inside[first], late[first]
 
 
 def outlines(shingles: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -99,42 +102,44 @@ def may_be_near(a: bytes, b: bytes, n_a: int, n_b: int, percent: int) -> bool:
 
 
 def survey(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Rows of two kinds: (key, id, n, outline) of each document, and (gram, n) of the first shingles that one task met in
-    several sets."""
+    """Rows of two kinds: (key, id, n, outline) of each document, and (gram, n) of the shingles that several sets of one
+    slice of rows have."""
     schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("gram", pa.int64()),
                         ("outline", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met, none = [], np.zeros(0, np.uint64)
         for batch in slices(batches):
             ids, shingles, bounds = sets_of(batch.column("text"), settings.width)
-            met.append(first_shingles(ids, shingles, bounds, settings.percent, none)[0])
             n = batch.num_rows
             yield batch_of(schema, batch.column("key"), ids.astype(np.int64), np.diff(bounds), pa.nulls(n, pa.int64()),
                            outlines(shingles, bounds))
-        gram, times = np.unique(np.concatenate([none, *met]), return_counts=True)
-        several = times > 1
-        gram, times = gram[several].astype(np.int64), times[several]
-        empty = pa.nulls(len(gram), pa.int64())
-        yield batch_of(schema, empty, empty, times, gram, pa.nulls(len(gram), pa.binary()))
+            once = np.zeros(n, bool)
+            once[np.unique(ids, return_index=True)[1]] = True  # equal sets count once
+            gram, times = np.unique(shingles[np.repeat(once, np.diff(bounds))], return_counts=True)
+            several = times > 1
+            gram, times = gram[several].astype(np.int64), times[several]
+            empty = pa.nulls(len(gram), pa.int64())
+            yield batch_of(schema, empty, empty, times, gram, pa.nulls(len(gram), pa.binary()))
 
     return docs.mapInArrow(run, "key LONG, id LONG, n LONG, gram LONG, outline BINARY")
 
 
 def regions(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFrame:
-    """(x, pivot): the sets that share a first shingle, by the pivot of that shingle."""
+    """(x, pivot, place): the sets that share a first shingle, by the pivot of that shingle, and the earliest place of such
+    a shingle in the order of the set."""
     spark = docs.sparkSession
     listed = spark.sparkContext.broadcast(frequent)
-    out = pa.schema([("gram", pa.int64()), ("id", pa.int64()), ("late", pa.bool_())])
+    out = pa.schema([("gram", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("late", pa.bool_())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            gram, ids, late = first_shingles(*sets_of(batch.column("text"), settings.width), settings.percent, listed.value)
-            yield batch_of(out, gram.astype(np.int64), ids.astype(np.int64), late)
+            gram, ids, place, late = first_shingles(*sets_of(batch.column("text"), settings.width), settings.percent,
+                                                    listed.value)
+            yield batch_of(out, gram.astype(np.int64), ids.astype(np.int64), place, late)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by gram, part and id: the first of each is the pivot. Keeps no group in memory."""
-        schema = pa.schema([("gram", pa.int64()), ("x", pa.int64()), ("pivot", pa.int64())])
+        schema = pa.schema([("gram", pa.int64()), ("x", pa.int64()), ("pivot", pa.int64()), ("place", pa.int64())])
         last_gram, last_part, last_pivot = None, None, 0
         for batch in batches:
             if not batch.num_rows:
@@ -145,16 +150,18 @@ def regions(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFr
             pivot = np.append(last_pivot, ids[head])[np.cumsum(head)]
             last_gram, last_part, last_pivot = gram[-1], part[-1], pivot[-1]
             keep = (ids != pivot) | late
-            yield batch_of(schema, pa.array(gram[keep], mask=~late[keep]), ids[keep], pivot[keep])
+            yield batch_of(schema, pa.array(gram[keep], mask=~late[keep]), ids[keep], pivot[keep],
+                           batch.column("place").to_numpy()[keep])
 
-    rows = docs.mapInArrow(emit, "gram LONG, id LONG, late BOOLEAN")
+    rows = docs.mapInArrow(emit, "gram LONG, id LONG, place LONG, late BOOLEAN")
     part = F.when(F.col("late"), F.pmod(F.col("id"), F.lit(settings.parts))).otherwise(0)
     dealt = rows.withColumn("part", part).repartition("gram", "part").sortWithinPartitions("gram", "part", "id")
-    met = written(dealt.mapInArrow(gather, "gram LONG, x LONG, pivot LONG"), "regions")
+    met = written(dealt.mapInArrow(gather, "gram LONG, x LONG, pivot LONG, place LONG"), "regions")
     common = met.where(F.col("gram").isNotNull())
     pivots = common.groupBy("gram").agg(F.min("pivot").alias("least"))
-    joined = common.join(pivots, "gram").select("x", F.col("least").alias("pivot"))
-    return met.where(F.col("gram").isNull()).select("x", "pivot").union(joined).where("x <> pivot").distinct()
+    joined = common.join(pivots, "gram").select("x", F.col("least").alias("pivot"), "place")
+    return met.where(F.col("gram").isNull()).select("x", "pivot", "place").union(joined).where("x <> pivot").groupBy(
+        "x", "pivot").agg(F.min("place").alias("place"))
 
 
 def stored_sets(docs: DataFrame, info: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
@@ -218,21 +225,22 @@ def screened(pairs: DataFrame, outline: DataFrame, settings: Settings) -> DataFr
 
 
 def within_regions(named: DataFrame, outline: DataFrame, settings: Settings, ids_only: bool = False) -> DataFrame:
-    """Pairs (a, b) inside each small region that are not connected, that the distances to the pivot allow (where both
-    are known) and that pass the bound. ``named`` is (pivot, x, d, label). ``ids_only`` gives the ids (id) of which
-    there is such a pair."""
+    """Pairs (a, b) inside each small region that are not connected, that the distances to the pivot (where both are
+    known) and the places allow and that pass the bound. ``named`` is (pivot, x, d, place, label). ``ids_only`` gives the
+    ids (id) of which there is such a pair."""
     limit = 1 - settings.percent / 100 + 1e-9
 
     def run(region: pa.Table) -> pa.Table:
         region = region.combine_chunks()
         x, n, label = (region.column(c).to_numpy() for c in ("x", "n", "label"))
-        d = region.column("d").to_numpy()
+        d, left = region.column("d").to_numpy(), n - region.column("place").to_numpy()
         drawn = region.column("outline").to_pylist()
         found = []
         for i in range(len(x) - 1):
             rest = slice(i + 1, None)
             ok = (label[rest] != label[i]) & ~(np.abs(d[rest] - d[i]) > limit)
             ok &= (100 + settings.percent) * np.abs(n[rest] - n[i]) <= (100 - settings.percent) * (n[rest] + n[i])
+            ok &= (100 + settings.percent) * np.minimum(left[rest], left[i]) >= settings.percent * (n[rest] + n[i])
             found += [(i, j) for j in (np.flatnonzero(ok) + i + 1).tolist()
                       if may_be_near(drawn[i], drawn[j], int(n[i]), int(n[j]), settings.percent)]
         at = np.array(found, np.int64).reshape(-1, 2)
@@ -242,7 +250,7 @@ def within_regions(named: DataFrame, outline: DataFrame, settings: Settings, ids
             {"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
     rows = named.join(outline.withColumnRenamed("id", "x"), "x")
-    return rows.select("pivot", "x", "d", "label", "n", "outline").groupBy("pivot").applyInArrow(
+    return rows.select("pivot", "x", "d", "place", "label", "n", "outline").groupBy("pivot").applyInArrow(
         run, "id LONG" if ids_only else "a LONG, b LONG").distinct()
 
 
@@ -268,9 +276,9 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     stars = written(screened(members.select(F.col("x").alias("a"), F.col("pivot").alias("b")), outline, settings), "stars")
 
     sizes = members.groupBy("pivot").agg(F.count("*").alias("many"))
-    own = members.union(members.select(F.col("pivot").alias("x"), "pivot").distinct())
+    own = members.union(members.select(F.col("pivot").alias("x"), "pivot", F.lit(0).cast("long")).distinct())
     alone = own.join(sizes.where(F.col("many") < settings.small), "pivot", "left_semi").select(
-        "pivot", "x", F.lit(None).cast("double").alias("d"), F.col("x").alias("label"))
+        "pivot", "x", F.lit(None).cast("double").alias("d"), "place", F.col("x").alias("label"))
     crowd = own.join(sizes.where(F.col("many") >= settings.small), "pivot", "left_semi").select(F.col("x").alias("id"))
     wanted = written(within_regions(alone, outline, settings, ids_only=True).union(crowd).distinct(), "wanted")
     sets = written(stored_sets(docs, info, wanted, settings), "sets")
@@ -291,7 +299,8 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
     pairs = written(within_regions(small, outline, settings), "pairs")
     if pairs.limit(1).count():
         links = links.union(tested(pairs).where(near(settings.percent)).select("a", "b"))
-    large = written(region.join(open_.where(F.col("many") >= settings.small).select("pivot"), "pivot", "left_semi"), "large")
+    large = region.join(open_.where(F.col("many") >= settings.small).select("pivot"), "pivot", "left_semi")
+    large = written(large.join(outline.select(F.col("id").alias("x"), "n"), "x"), "large")
     used, pivots = None, settings.pivots
     while large.limit(1).count():
         labels = components(links)
@@ -301,12 +310,14 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
             open_ = open_.join(used, ["pivot", "x"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("pivot").orderBy("x"))
         chosen = written(open_.withColumn("_rank", rank).where(F.col("_rank") <= pivots).select(
-            "pivot", "x", "d", "label"), "pivots")
+            "pivot", "x", "d", "place", "n", "label"), "pivots")
         if not chosen.limit(1).count():
             break
-        limit = 1 - settings.percent / 100 + 1e-9
+        limit, p = 1 - settings.percent / 100 + 1e-9, settings.percent
         pairs = chosen.alias("q").join(named.alias("m"), F.expr(
-            f"q.pivot = m.pivot AND q.x <> m.x AND q.label <> m.label AND coalesce(abs(q.d - m.d) <= {limit}, true)")).select(
+            f"q.pivot = m.pivot AND q.x <> m.x AND q.label <> m.label AND coalesce(abs(q.d - m.d) <= {limit}, true) AND "
+            f"{100 + p} * least(q.n - q.place, m.n - m.place) >= {p} * (q.n + m.n) AND "
+            f"{100 + p} * abs(q.n - m.n) <= {100 - p} * (q.n + m.n)")).select(
             F.least("q.x", "m.x").alias("a"), F.greatest("q.x", "m.x").alias("b")).distinct()
         more = tested(written(screened(pairs, outline, settings), "pairs")).where(near(settings.percent)).select("a", "b")
         links = written(links.union(more).distinct(), "links")
