@@ -1,8 +1,8 @@
 """Exact Jaccard join of documents on their five-word shingles, in the metric space of Jaccard distance.
 
 Near pairs share a shingle among the first few of each set in one order of all shingles, for else too many would be
-missing in one of them. So a shingle gathers a region around its pivot, the set with the smallest id that has the
-shingle among its first; a set belongs to the regions of all its first shingles, which is how far the distance lets a
+missing in one of them. So a shingle gathers a region around its pivot, the set with the fewest shingles before it
+(then the smallest id): of near copies the one that all resemble, as the others have rare shingles of their own; a set belongs to the regions of all its first shingles, which is how far the distance lets a
 partner be. Very frequent shingles come last in the order; that keeps regions small and changes no result. Each set
 knows its place in a region, the number of its shingles before the first that the region has: a pair that shares nothing
 earlier can share what follows at most, and that is often too little.
@@ -138,7 +138,7 @@ def regions(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFr
             yield batch_of(out, gram.astype(np.int64), ids.astype(np.int64), place, late)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by gram, part and id: the first of each is the pivot. Keeps no group in memory."""
+        """Rows come sorted by gram, part, place and id: the first of each is the pivot. Keeps no group in memory."""
         schema = pa.schema([("gram", pa.int64()), ("x", pa.int64()), ("pivot", pa.int64()), ("place", pa.int64())])
         last_gram, last_part, last_pivot = None, None, 0
         for batch in batches:
@@ -155,11 +155,11 @@ def regions(docs: DataFrame, frequent: np.ndarray, settings: Settings) -> DataFr
 
     rows = docs.mapInArrow(emit, "gram LONG, id LONG, place LONG, late BOOLEAN")
     part = F.when(F.col("late"), F.pmod(F.col("id"), F.lit(settings.parts))).otherwise(0)
-    dealt = rows.withColumn("part", part).repartition("gram", "part").sortWithinPartitions("gram", "part", "id")
+    dealt = rows.withColumn("part", part).repartition("gram", "part").sortWithinPartitions("gram", "part", "place", "id")
     met = written(dealt.mapInArrow(gather, "gram LONG, x LONG, pivot LONG, place LONG"), "regions")
     common = met.where(F.col("gram").isNotNull())
-    pivots = common.groupBy("gram").agg(F.min("pivot").alias("least"))
-    joined = common.join(pivots, "gram").select("x", F.col("least").alias("pivot"), "place")
+    pivots = common.groupBy("gram").agg(F.min(F.struct("place", "x")).alias("least"))
+    joined = common.join(pivots, "gram").select("x", F.col("least.x").alias("pivot"), common["place"])
     return met.where(F.col("gram").isNull()).select("x", "pivot", "place").union(joined).where("x <> pivot").groupBy(
         "x", "pivot").agg(F.min("place").alias("place"))
 
@@ -308,7 +308,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), text: str = "text", k
         open_ = named.where("label <> home")
         if used is not None:
             open_ = open_.join(used, ["pivot", "x"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("pivot").orderBy("x"))
+        rank = F.row_number().over(Window.partitionBy("pivot").orderBy("place", "x"))
         chosen = written(open_.withColumn("_rank", rank).where(F.col("_rank") <= pivots).select(
             "pivot", "x", "d", "place", "n", "label"), "pivots")
         if not chosen.limit(1).count():
