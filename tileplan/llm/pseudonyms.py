@@ -178,7 +178,8 @@ def _account(m: Column, key: str, undo: bool) -> Column:
 
 
 def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
-    """The pseudonym of one value found by ANY; the value itself if its check fails."""
+    """The pseudonym of one value found by ANY; the value itself if its check fails. Account numbers of A-F and digits are
+    told from hexadecimal secrets by length: those have 32 characters at least."""
     def whole(pattern: str) -> Column:
         return m.rlike(f"^(?:{pattern})$")
 
@@ -189,7 +190,7 @@ def pseudonym(m: Column, key: str, undo: bool = False) -> Column:
     return (F.when(whole(EMAIL), _email(m, key, undo)).when(whole(DATE), _date(m, key, undo))
             .when(whole(ADDRESS), _address(m, key, undo)).when(whole(PHONE), _phone(m, key, undo))
             .when(whole(SOCIAL), social).when(whole(CARD), _card(m, key, undo))
-            .when(whole(ACCOUNT) & ~m.rlike("^[0-9A-F]+$"), _account(m, key, undo)).otherwise(secret))
+            .when(whole(ACCOUNT) & ~m.rlike("^[0-9A-F]{32,}$"), _account(m, key, undo)).otherwise(secret))
 
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text", undo: bool = False) -> DataFrame:
