@@ -174,7 +174,11 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     """One row per row of ``pages``: page_id, url, text and n_chars.
 
     A null html, or one without main text, gives an empty text; a null url is a host of its own; repeated rows are
-    pages of their own; an empty table gives no rows. The pages' blocks are written once.
+    pages of their own; an empty table gives no rows.
+
+    Pages are read and parsed twice, for the repeated substrings and for the result, so that their text is neither written
+    nor shuffled more than once. The number of pages of a host and its common substrings are written: Spark knows their
+    size then and broadcasts them if they are small. A host's shards are dealt one by one, whatever the join before.
     """
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("key", pa.int64()), ("url", pa.string()), ("article", pa.bool_()), ("text", pa.string())])
@@ -185,18 +189,17 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
 
     raw = pages.select(F.col(key).cast("long").alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    read = written(raw.mapInArrow(parse, "key LONG, url STRING, article BOOLEAN, text STRING").withColumn("host", host),
-                   "page-blocks")
-    counts = read.groupBy("host").agg(F.count("*").alias("n"))
+    read = raw.mapInArrow(parse, "key LONG, url STRING, article BOOLEAN, text STRING").withColumn("host", host)
+    counts = written(raw.select(host.alias("host")).groupBy("host").agg(F.count("*").alias("n")), "host-counts")
     shard = F.pmod(F.xxhash64("key", "url", "text"), F.ceil(F.col("n") / SHARD_PAGES)).cast("int")
     sharded = read.join(counts.where(F.col("n") >= MIN_PAGES), "host").withColumn("shard", shard)
-    grams = (sharded.select("host", "shard", "text").groupBy("host", "shard").applyInArrow(
+    grams = (sharded.select("host", "shard", "text").repartition("host", "shard").groupBy("host", "shard").applyInArrow(
         lambda t: repeated_windows(t), "host STRING, gram LONG, pages LONG").groupBy("host", "gram").agg(
         F.sum("pages").alias("pages")))
-    common = (grams.join(counts, "host").withColumn("share", F.col("pages") / F.col("n"))
-              .where((F.col("pages") >= MIN_PAGES) & (F.col("share") >= LOOSE_SHARE))
-              .groupBy("host").agg(F.collect_list("gram").alias("loose"), F.collect_list(
-                  F.when(F.col("share") >= ARTICLE_SHARE, F.col("gram"))).alias("strict")))  # <= tokens of a page / share
+    common = written(grams.join(counts, "host").withColumn("share", F.col("pages") / F.col("n"))
+                     .where((F.col("pages") >= MIN_PAGES) & (F.col("share") >= LOOSE_SHARE))
+                     .groupBy("host").agg(F.collect_list("gram").alias("loose"), F.collect_list(  # <= tokens of a page / share
+                         F.when(F.col("share") >= ARTICLE_SHARE, F.col("gram"))).alias("strict")), "common-substrings")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
