@@ -85,6 +85,9 @@ def _recent(df: DataFrame, rules: Rules, condition: str) -> DataFrame:
     return df.filter(F.col("harvesting_date") >= rules.since(condition))
 
 
+_TILE_DAY = ["tile", "measurement_day"]
+
+
 def trg_sig0_full(new: DataFrame) -> DataFrame:
     """TRG-01: every whole GRD slice alone."""
     return _rows(_of_type(new, "IW_GRDH_1S").filter(~F.col("is_partial")), "Backscatter_10m_TC", ["id"])
@@ -288,16 +291,52 @@ def trg_cc(cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame]:
             ready.filter(lacking).select("id", "tile", "measurement_day"))
 
 
-def trg_wics1s2(cat: Catalogue, rules: Rules) -> DataFrame:
-    """TRG-11: every WICS1 not validated yet with all WICS2 of its tile and day; NRT only on the day itself."""
+def _wics1s2(cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame, Column]:
+    """Every WICS1 not validated yet, all WICS2 as partners, and whether a head is NRT: only on the day itself."""
     ri = cat.raw_inputs
     heads = not_validated(_of_type(ri, "S1_WICS1_L2B"), cat, "WICS1S2_TC").select("id", "tile", "measurement_day")
     partners = _of_type(ri, "S2_WICS2_L2B").select("tile", "measurement_day", F.col("id").alias("partner_id"))
-    is_nrt = F.col("measurement_day") == day_number(rules.today)
+    return heads, partners, F.col("measurement_day") == day_number(rules.today)
+
+
+def trg_wics1s2(cat: Catalogue, rules: Rules) -> DataFrame:
+    """TRG-11: every WICS1 not validated yet with all WICS2 of its tile and day; NRT only on the day itself."""
+    heads, partners, is_nrt = _wics1s2(cat, rules)
     return _with_partners(heads, partners, "WICS1S2_TC", is_nrt)
 
 
-_TILE_DAY = ["tile", "measurement_day"]
+def shared_wics1s2(cat: Catalogue, rules: Rules) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """TRG-11 with the partners of a tile and day kept once, not once a head: the heads' own rows, the partner rows that a
+    head has of its own id, and the partners. ``shared_links`` gives the links to all other partners.
+
+    There are as many links as heads times partners of their tile and day, so only the links are ever that many rows.
+    """
+    heads, partners, is_nrt = _wics1s2(cat, rules)
+    have = written(heads.join(partners.select(*_TILE_DAY), _TILE_DAY, "left_semi"), "shared-heads")
+    twins = have.join(partners.withColumn("id", F.col("partner_id")), [*_TILE_DAY, "id"])
+    own = _rows(have, "WICS1S2_TC", ["id"], member="id", is_nrt=is_nrt)
+    return own, _rows(twins, "WICS1S2_TC", ["id"], member="partner_id", is_nrt=is_nrt), partners
+
+
+#: Heads of a tile and day that one task joins with the partners.
+SLICE_HEADS = 1024
+
+
+def shared_links(validations: DataFrame, own: DataFrame, partners: DataFrame) -> DataFrame:
+    """The links of new validations to the partners of their tile and day, see ``shared_wics1s2``.
+
+    The heads of a tile and day are dealt over slices, to each of which its partners go. Spark does not know how many rows
+    come out and would put the few that go in into a few tasks, so the number of tasks is that of the session's shuffles.
+    """
+    ids = validations.select(F.col("id").alias("trigger_validation_id"), "candidate_key")
+    heads = own.select(*_TILE_DAY, "candidate_key", "first_id").join(ids, "candidate_key")
+    slices = heads.groupBy(*_TILE_DAY).agg(F.ceil(F.count("*") / SLICE_HEADS).alias("slices"))
+    tasks, by = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*_TILE_DAY, "slice"]
+    dealt = heads.join(slices, _TILE_DAY).withColumn("slice", F.pmod(F.xxhash64("trigger_validation_id"), "slices"))
+    given = partners.join(slices, _TILE_DAY).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
+    pairs = dealt.repartition(tasks, *by).join(given.repartition(tasks, *by).hint("merge"), by)
+    return pairs.filter(~F.col("partner_id").eqNullSafe(F.col("first_id"))).select(
+        "trigger_validation_id", F.col("partner_id").alias("raw_input_id"))
 
 
 def wds_in_sequence(heads: DataFrame, ri: DataFrame, rules: Rules, newest_first: bool = False) -> DataFrame:

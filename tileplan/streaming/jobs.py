@@ -21,7 +21,7 @@ from tileplan.operators.filters import CUTOVER_DAY, eligible_products
 from tileplan.plans.gapfill import set_index, trg_gfsc
 from tileplan.plans.planning import lost_tasks, plan_tasks
 from tileplan.plans.triggers import (
-    COLUMNS, Rules, materialise, trg_cc, trg_sig0_orphans, trg_sig0_pairs, trg_wics1s2, trigger_all,
+    COLUMNS, Rules, materialise, shared_links, shared_wics1s2, trg_cc, trg_sig0_orphans, trg_sig0_pairs, trigger_all,
 )
 from tileplan.schemas import SCHEMAS, struct
 from tileplan.session import moment, shared_dir, written
@@ -120,10 +120,12 @@ def _time_of(batch: DataFrame) -> dt.datetime | None:
     return batch.agg(F.max(F.col("tick").cast("timestamp_ntz"))).first()[0]
 
 
-def pass_candidates(due: list[str], cat: Catalogue, rules: Rules, orphans: DataFrame) -> tuple[list[DataFrame], dict[str, DataFrame]]:
+def pass_candidates(due: list[str], cat: Catalogue, rules: Rules, orphans: DataFrame) -> tuple[
+        list[DataFrame], dict[str, DataFrame], tuple[DataFrame, DataFrame] | None]:
     """STR-14: the candidates of the passes over whole tables, and what they store for the next time: the orphans given
-    out and the day up to which the gap-filled product is complete."""
-    found, stored = [], {}
+    out and the day up to which the gap-filled product is complete. Third, candidates that are bound to all partners of their
+    tile and day, and those partners: the arguments of ``shared_links``, which gives their other links."""
+    found, stored, shared = [], {}, None
     if "grd" in due:
         alone, seen = trg_sig0_orphans(cat.raw_inputs, cat.raw2valid, rules.as_of, orphans)
         found += [trg_sig0_pairs(cat.raw_inputs, cat.raw2valid, rules.as_of), alone]
@@ -139,8 +141,10 @@ def pass_candidates(due: list[str], cat: Catalogue, rules: Rules, orphans: DataF
             if reached is not None:
                 stored["triggerer_config"] = set_last_day(cat.triggerer_config, GAP_FILLED, reached)
     if "wics1s2" in due:
-        found.append(trg_wics1s2(cat, rules))
-    return [df.select(*COLUMNS) for df in found], stored
+        own, twins, partners = shared_wics1s2(cat, rules)
+        found += [own, twins]
+        shared = own, partners
+    return [df.select(*COLUMNS) for df in found], stored, shared
 
 
 def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: Rules, root: str, checkpoint: str,
@@ -163,14 +167,14 @@ def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: R
             return
         live = log.state().live
         now = catalogue().replace(**{t: log.rows(t) for t in ("trigger_validation", "raw2valid", "triggerer_config", "set_index") if t in live})
-        new, dated, stored, found = batch, rules, {}, []
+        new, dated, stored, found, shared = batch, rules, {}, [], None
         if ticks is not None:
             new, tick = batch.where("tick IS NULL").drop("tick"), _time_of(batch)
             runs = log.rows("pass_runs")
             due, last = due_passes(runs, periods, tick) if tick else ([], {})
             dated = replace(rules, as_of=tick or runs.agg(F.max("last_run")).first()[0] or rules.as_of)
             if due:
-                found, stored = pass_candidates(due, now, dated, log.rows("orphans"))
+                found, stored, shared = pass_candidates(due, now, dated, log.rows("orphans"))
                 stored["pass_runs"] = spark.createDataFrame(list(last.items()), JOB_SCHEMAS["pass_runs"])
         if not (found and new.isEmpty()):
             found.append(trigger_all(new.dropDuplicates(["id"]), now, dated).select(*COLUMNS))
@@ -179,6 +183,8 @@ def run_triggers(inputs: DataFrame, catalogue: Callable[[], Catalogue], rules: R
         sets = set_index(now.replace(trigger_validation=heads, raw2valid=members))
         if "set_index" not in live:  # the first batch adds the sets that were there before
             sets = sets.unionByName(set_index(now))
+        if shared:  # their validations have no day, so they are in no set
+            members = members.unionByName(shared_links(heads, *shared))
         log.commit(n, {"trigger_validation": heads, "raw2valid": members, "set_index": sets}, stored)
 
     return start(rows, work, checkpoint, every)
