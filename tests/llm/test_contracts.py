@@ -53,6 +53,7 @@ def empty(spark, tmp_path_factory):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "vec_id LONG, embedding ARRAY<FLOAT>, label INT").write.parquet(f"{folder}/embeddings.parquet")
     spark.createDataFrame([], "page_id LONG, url STRING, html STRING").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([], "conv_id LONG, turn LONG, role STRING, text STRING").write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
