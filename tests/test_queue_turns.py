@@ -3,9 +3,15 @@
 import random
 
 import pandas as pd
+import pytest
 
+from tileplan import registry
+from tileplan.fixtures import FixtureCatalogue
+from tileplan.operators.tasks import currently_deployed
 from tileplan.streaming import queue
 
+registry.load()
+
 SCHEMA = "id BIGINT, at BIGINT, is_launch BOOLEAN, task STRUCT<id: BIGINT, name: STRING>"
 
 
@@ -62,3 +68,16 @@ def test_repeated_batch_and_new_checkpoint(spark, tmp_path):
         jobs.run_queue(stream, lambda: spark.createDataFrame([], "id BIGINT"), f"{root}/{path}", f"{root}/{checkpoint}").awaitTermination()
         seen.append(spark.read.parquet(f"{root}/{path}").count())
     assert seen == [1, 1, 1]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_events_in_a_folder_are_all_queued(spark, tmp_path, files):
+    """Larger tables are folders of files; a stream over them has the rows that a batch read has."""
+    events = spark.range(400).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + id * INTERVAL '1' HOUR AS ts", "id % 7 AS user_id",
+        "'view' AS event_type", "double(id) AS value", "'{}' AS props")
+    events.repartition(files).write.parquet(f"{tmp_path}/events.parquet")
+    fx = FixtureCatalogue(spark, str(tmp_path))
+    expected = {r.id for r in fx.processing_tasks.collect()} - {r.id for r in currently_deployed(fx).collect()}
+    found = [r.id for r in registry.QUERIES["str12_queue"](spark, str(tmp_path)).collect()]
+    assert expected and sorted(found) == sorted(expected)

@@ -264,9 +264,12 @@ class FixtureCatalogue(Catalogue):
         return self._spark.sql(re.sub(r"\bFROM events\b", "FROM {events}", query), events=events)
 
     def stream(self, name: str, more: str = "") -> DataFrame:
-        """A derived table as a stream over the events file; lookups inside its rule stay batch reads."""
+        """A derived table as a stream over the events; lookups inside its rule stay batch reads.
+
+        The table may be one file or a folder of files; a stream takes both by a pattern, but a single file not by its name.
+        """
         source = (self._spark.readStream.schema(self._spark.read.parquet(f"{self._root}/events.parquet").schema)
-                  .option("pathGlobFilter", "events.parquet").parquet(self._root))
+                  .parquet(f"{self._root}/events.parque[t]"))
         query = with_tables(f"SELECT * FROM {name} {more}")
         base = RULES["fx_base"].strip()
         query = query.replace(base, base.replace("FROM events", "FROM {stream}"))
